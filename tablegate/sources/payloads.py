@@ -21,10 +21,10 @@ def read_payloads(
     text: str = "payload",
 ) -> DataFrame:
     """One row per JSON file below ``path``; unit keys come from ``key=value`` folders."""
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if unit_schema is not None:
         reader = reader.schema(T.StructType([T.StructField("value", T.StringType()), *unit_schema]))
-    return reader.text(path).withColumnRenamed("value", text)
+    return reader.text(path, wholetext=True).withColumnRenamed("value", text)
 
 
 def classify_responses(df: DataFrame, status: str = "status", body: str = "body") -> DataFrame:
