@@ -88,8 +88,12 @@ def measured(df: DataFrame) -> tuple[int, int]:
 
 
 def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The Parquet table at ``path``, or None when nothing was written yet."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    """The Parquet table at ``path``, or None when nothing was written yet.
+
+    Without a schema the footers of all files are merged (a distributed job), as
+    a column added later is missing from older files and must not be lost.
+    """
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
     try:
         return reader.parquet(path)
     except AnalysisException as error:
