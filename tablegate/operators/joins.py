@@ -12,23 +12,26 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.session import BROADCAST_LIMIT_BYTES, materialize, measured
 
 
-def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    """Null-safe equality on all of ``on``."""
-    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in on])
+def small(df: DataFrame) -> DataFrame:
+    """``df`` computed once, and marked for broadcast if its size allows that.
+
+    For dimensions that are derived rather than read from small files.
+    """
+    kept = materialize(df)
+    return F.broadcast(kept) if measured(kept)[1] <= BROADCAST_LIMIT_BYTES else kept
 
 
 def _matching(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    keys = materialize(keys.select(*on).distinct())
-    count, size = measured(keys)
+    renamed = keys.select([F.col(c).alias(f"__key_{c}") for c in on])
+    count, size = measured(renamed)
     if count == 0:
         return rows if how == "left_anti" else rows.limit(0)
-    renamed = keys.select([F.col(c).alias(f"__key_{c}") for c in on])
     if size <= BROADCAST_LIMIT_BYTES:
         renamed = F.broadcast(renamed)
     match = reduce(and_, [rows[c].eqNullSafe(renamed[f"__key_{c}"]) for c in on])
@@ -38,8 +41,9 @@ def _matching(rows: DataFrame, keys: DataFrame, on: Sequence[str], how: str) ->
 def anti_join(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is not among ``keys``; untouched when there are none.
 
-    ``keys`` is computed and measured first. It is broadcast only below the
-    limit, otherwise the join shuffles and AQE splits hot keys of ``rows``.
+    ``keys`` should be materialised: it is measured first. It is broadcast only
+    below the limit, otherwise the join shuffles and AQE splits hot keys of
+    ``rows``. Null keys match each other.
     """
     return _matching(rows, keys, on, "left_anti")
 

@@ -109,14 +109,14 @@ def upsert(
     if target is None:
         target = spark.createDataFrame([], schema or source.schema)
     touched = source.select(partition).distinct()
-    span = touched.agg(
-        F.count(F.lit(1)).alias("n"), F.min(partition).alias("low"), F.max(partition).alias("high")
-    ).first()
-    if span["n"] <= _LISTED_PARTITIONS:
-        values = [row[0] for row in touched.collect()]
-        target = target.filter(F.col(partition).isin(values)) if values else target.limit(0)
+    listed = [row[0] for row in touched.limit(_LISTED_PARTITIONS + 1).collect()]
+    if not listed:
+        target = target.limit(0)
+    elif len(listed) <= _LISTED_PARTITIONS:
+        target = target.filter(F.col(partition).isin(listed))
     else:
-        target = target.filter(F.col(partition).between(span["low"], span["high"]))
+        low, high = touched.agg(F.min(partition), F.max(partition)).first()
+        target = target.filter(F.col(partition).between(low, high))
 
     counts = materialize(merge_counts(merge_rows(target, source, keys, guard), group))
     changed = counts.filter("rows_inserted + rows_updated > 0").select(partition).distinct()
@@ -136,4 +136,5 @@ def incremental_merge(
     spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], partition: str
 ) -> DataFrame:
     """Merge a rebuilt window into a mart: matched rows are always updated."""
-    return upsert(spark, path, staged(rows, "mart-window"), keys, partition)
+    with staged(rows, "mart-window") as window:
+        return upsert(spark, path, window, keys, partition)

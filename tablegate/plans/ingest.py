@@ -25,7 +25,7 @@ from tablegate.operators.audit import (
     run_summary,
 )
 from tablegate.operators.incremental import clamp_range, work_units
-from tablegate.operators.joins import anti_join, semi_join
+from tablegate.operators.joins import anti_join, semi_join, small
 from tablegate.operators.merge import upsert
 from tablegate.operators.validate import (
     MAX_REJECT_RATIO,
@@ -125,100 +125,94 @@ def ingest_units(
     places = catalogue.select(
         "city_id", F.col("latitude").alias("_latitude"), F.col("longitude").alias("_longitude")
     )
-    parsed = with_series(payloads.join(places, "city_id"), series, "city_id").withColumn(
+    parsed = _parsed(payloads.join(small(places), "city_id"), contract, series)
+    previous = None
+    if not (full_refresh or land_only):
+        previous = read_if_exists(spark, store.audit, AUDIT_SCHEMA)
+
+    # One narrow pass decides per unit; only units still to load are flattened.
+    units = materialize(_unit_states(parsed, plan, previous))
+    to_load = units.filter(F.col("problem").isNull() & ~F.col("already_loaded"))
+    todo = semi_join(parsed, to_load, UNIT)
+
+    with staged(_checked_rows(todo, contract, series), "checked-rows") as rows:
+        report = materialize(gate_report(rows, UNIT, F.col("_rejected"), max_reject_ratio))
+        rejected = rows.filter("_rejected")
+        lines = quarantine_lines(rejected, contract, UNIT, started, F.col("_row"))
+        write_quarantine(lines, store.quarantine, UNIT, to_load)
+
+        passing = anti_join(rows.filter("not _rejected"), report.filter("not passed"), UNIT)
+        accepted = with_metadata(
+            passing.drop("_rejected", "_reasons", "_row"),
+            {
+                "_ingested_at_utc": F.lit(started).cast("timestamp_ntz"),
+                "_batch_id": batch_id("city_id", "observation_date", contract.version),
+                "_contract_version": F.lit(contract.version),
+            },
+        )
+        land(accepted, store.landing, UNIT)
+        if land_only:
+            return materialize(_results(units, report, None, contract, max_reject_ratio))
+        try:
+            counts = _load(spark, accepted, contract, store, full_refresh)
+        except Exception as error:
+            failed = _results(units, report, None, contract, max_reject_ratio, str(error))
+            _write_audit(failed, store, contract, run_id, started)
+            raise
+    results = materialize(_results(units, report, counts, contract, max_reject_ratio))
+    _write_audit(results, store, contract, run_id, started)
+    return results
+
+
+def _parsed(payloads: DataFrame, contract: Contract, series: Mapping[str, str]) -> DataFrame:
+    """Payloads with their arrays, their hash and what is wrong with them."""
+    parsed = with_series(payloads, series, "city_id").withColumn(
         "_source_payload_hash", F.sha2(F.to_json("_document"), 256)
     )
-    if contract.unknown_field_action == "reject":
-        names = F.array_join(unknown_names(series), ", ")
-        parsed = parsed.withColumn(
-            "_problem",
-            F.when(
-                names != "", F.concat(F.lit("unknown fields not allowed by contract: "), names)
-            ).otherwise(F.col("_problem")),
-        )
+    if contract.unknown_field_action != "reject":
+        return parsed
+    names = F.array_join(unknown_names(series), ", ")
+    problem = F.concat(F.lit("unknown fields not allowed by contract: "), names)
+    return parsed.withColumn("_problem", F.when(names != "", problem).otherwise(F.col("_problem")))
 
-    # One narrow pass decides per unit; only units still to load are flattened.
+
+def _unit_states(
+    parsed: DataFrame, plan: DataFrame | None, previous: DataFrame | None
+) -> DataFrame:
+    """One row per unit: payload hash, problem, and whether it is loaded already."""
     units = parsed.select(
         *UNIT,
         F.col("_source_payload_hash").alias("source_payload_hash"),
         F.col("_problem").alias("problem"),
     )
     if plan is not None:
-        units = plan.select(*UNIT).join(units, UNIT, "left")
-        units = units.withColumn(
-            "problem",
-            F.when(
-                F.col("source_payload_hash").isNull() & F.col("problem").isNull(),
-                "producer returned no rows",
-            ).otherwise(F.col("problem")),
-        )
-    audit = read_if_exists(spark, store.audit, AUDIT_SCHEMA)
-    if audit is None or full_refresh or land_only:
-        units = units.withColumn("already_loaded", F.lit(False))
-    else:
-        units = loaded_before(units, audit)
-    units = materialize(units)
-
-    settled = units.filter(F.col("problem").isNotNull() | F.col("already_loaded"))
-    todo = anti_join(parsed, settled, UNIT)
-    if plan is not None:
-        todo = semi_join(todo, units, UNIT)
-    rows = _checked_rows(todo, contract, series)
-    report = materialize(gate_report(rows, UNIT, F.col("_rejected"), max_reject_ratio))
-
-    run_units = units.filter(F.col("problem").isNull() & ~F.col("already_loaded"))
-    lines = quarantine_lines(rows.filter("_rejected"), contract, UNIT, started, F.col("_row"))
-    write_quarantine(lines, store.quarantine, UNIT, run_units)
-
-    accepted = anti_join(rows.filter("not _rejected"), report.filter("not passed"), UNIT)
-    accepted = with_metadata(
-        accepted.drop("_rejected", "_reasons", "_row"),
-        {
-            "_ingested_at_utc": F.lit(started).cast("timestamp_ntz"),
-            "_batch_id": batch_id("city_id", "observation_date", contract.version),
-            "_contract_version": F.lit(contract.version),
-        },
+        nothing = F.col("source_payload_hash").isNull() & F.col("problem").isNull()
+        problem = F.when(nothing, "producer returned no rows").otherwise(F.col("problem"))
+        units = plan.select(*UNIT).join(units, UNIT, "left").withColumn("problem", problem)
+    if previous is None:
+        return units.withColumn("already_loaded", F.lit(False))
+    return loaded_before(units, previous)
+
+
+def _load(spark, accepted: DataFrame, contract: Contract, store: Store, full_refresh: bool):
+    """Merge accepted rows; the raw table is stored under the day of the reading itself."""
+    source = accepted.withColumn("observation_date", F.to_date("observed_at_utc"))
+    schema = raw_schema(contract)
+    return upsert(
+        spark,
+        store.raw,
+        source.select(schema.names),
+        keys=contract.primary_key,
+        partition="observation_date",
+        guard=None if full_refresh else "_source_payload_hash",
+        latest_by=["_ingested_at_utc"],
+        count_by=["_batch_id"],
+        schema=schema,
     )
-    land(accepted, store.landing, UNIT)
-
-    counts = None
-    if not land_only:
-        # The raw table is stored under the day of the reading itself.
-        source = accepted.withColumn("observation_date", F.to_date("observed_at_utc")).select(
-            raw_schema(contract).names
-        )
-        try:
-            counts = upsert(
-                spark,
-                store.raw,
-                source,
-                keys=contract.primary_key,
-                partition="observation_date",
-                guard=None if full_refresh else "_source_payload_hash",
-                latest_by=["_ingested_at_utc"],
-                count_by=["_batch_id"],
-                schema=raw_schema(contract),
-            )
-        except Exception as error:
-            failed = _results(units, report, None, contract, max_reject_ratio)
-            failed = failed.withColumns(
-                {
-                    "error_message": F.when(
-                        F.col("status") == LOADED, F.lit(str(error))
-                    ).otherwise(F.col("error_message")),
-                    "status": F.when(F.col("status") == LOADED, FAILED).otherwise(F.col("status")),
-                }
-            )
-            _write_audit(failed, store, contract, run_id, started)
-            raise
-    results = materialize(_results(units, report, counts, contract, max_reject_ratio))
-    if not land_only:
-        _write_audit(results, store, contract, run_id, started)
-    return results
 
 
 def _checked_rows(parsed: DataFrame, contract: Contract, series: Mapping[str, str]) -> DataFrame:
-    """Flattened rows, typed and checked, written once for the steps that follow."""
+    """Flattened rows, typed and checked."""
     time = contract.primary_key[-1]
     flat = flatten_series(
         parsed,
@@ -230,23 +224,21 @@ def _checked_rows(parsed: DataFrame, contract: Contract, series: Mapping[str, st
     fields = [c for c in contract.field_names if c in flat.columns]
     checked = flat.withColumn("_reasons", reasons(flat.select(fields), contract))
     rejected = F.size("_reasons") > 0
-    return staged(
-        checked.select(
-            "observation_date",
-            *contract.typed(flat),
-            "_source_payload_hash",
-            "_reasons",
-            rejected.alias("_rejected"),
-            F.when(rejected, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})).alias(
-                "_row"
-            ),
-        ),
-        "checked-rows",
+    return checked.select(
+        "observation_date",
+        *contract.typed(flat),
+        "_source_payload_hash",
+        "_reasons",
+        rejected.alias("_rejected"),
+        F.when(rejected, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})).alias("_row"),
     )
 
 
-def _results(units, report, counts, contract, max_reject_ratio) -> DataFrame:
-    """Status and counts per unit; all inputs have one row per unit."""
+def _results(units, report, counts, contract, max_reject_ratio, error=None) -> DataFrame:
+    """Status and counts per unit; all inputs have one row per unit.
+
+    ``error`` is the failure of the merge, shared by all units it was to load.
+    """
     results = units.join(report, UNIT, "left").withColumn(
         "batch_id", batch_id("city_id", "observation_date", contract.version)
     )
@@ -262,6 +254,9 @@ def _results(units, report, counts, contract, max_reject_ratio) -> DataFrame:
     refused = ~F.coalesce("passed", F.lit(True))
     message = failure_message(contract, UNIT[::-1], max_reject_ratio)
     zero = F.lit(0).cast("long")
+    broken = F.col("problem").isNotNull() | refused
+    if error is not None:
+        broken = broken | ~F.col("already_loaded")
     return results.select(
         *UNIT,
         "batch_id",
@@ -271,11 +266,13 @@ def _results(units, report, counts, contract, max_reject_ratio) -> DataFrame:
         F.coalesce("rejected_rows", zero).alias("rows_rejected"),
         F.coalesce(F.col("rows_inserted").cast("long"), zero).alias("rows_inserted"),
         F.coalesce(F.col("rows_updated").cast("long"), zero).alias("rows_updated"),
-        F.when(F.col("problem").isNotNull() | refused, FAILED)
+        F.when(broken, FAILED)
         .when(F.col("already_loaded"), SKIPPED)
         .otherwise(LOADED)
         .alias("status"),
-        F.coalesce("problem", F.when(refused, message)).alias("error_message"),
+        F.coalesce(
+            "problem", F.when(refused, message), F.when(broken, F.lit(error))
+        ).alias("error_message"),
     )
 
 

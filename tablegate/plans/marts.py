@@ -16,6 +16,7 @@ from tablegate.operators.incremental import (
     restatement_cutoff,
     restatement_filter,
 )
+from tablegate.operators.joins import small
 from tablegate.operators.merge import incremental_merge, merge_rows
 from tablegate.session import read_if_exists
 
@@ -179,7 +180,7 @@ def build_marts(
     the affected days instead, as a backfill of old days must: those lie before
     the window.
     """
-    cities = stage_cities(catalogue)
+    cities = small(stage_cities(catalogue))
     dim_city(cities, coverage(raw)).write.mode("overwrite").parquet(_mart(spark, root, "dim_city"))
 
     fact_path = _mart(spark, root, "fct_weather_hourly")

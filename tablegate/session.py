@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -65,8 +68,9 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write once as Parquet in the shared folder and read it back.
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Write once as Parquet in the shared folder, read it back, drop it at the end.
 
     Unlike :func:`materialize` the result keeps column pruning, pushed filters
     and true file sizes, so it suits wide frames that are read several times.
@@ -74,7 +78,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def measured(df: DataFrame) -> tuple[int, int]:
