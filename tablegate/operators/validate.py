@@ -22,34 +22,45 @@ class DataQualityError(RuntimeError):
     """A unit has too many rejected rows."""
 
 
-def reasons(df: DataFrame, contract: Contract, document: str | None = None) -> Column:
+def reasons(prepared: DataFrame, contract: Contract, document: str | None = None) -> Column:
     """Array of violations in contract order, empty for a valid row.
 
     ``array_except`` drops the nulls of rules that hold; unlike ``filter`` with
     a lambda it stays inside generated code.
     """
-    messages = [F.when(rule.failed, rule.message) for rule in contract.rules(df, document)]
+    messages = [F.when(rule.failed, rule.message) for rule in contract.rules(prepared, document)]
     missing = F.lit(None).cast("string")
     return F.array_except(F.array(*messages, missing), F.array(missing))
 
 
-def violates(df: DataFrame, contract: Contract, document: str | None = None) -> Column:
+def violates(prepared: DataFrame, contract: Contract, document: str | None = None) -> Column:
     """True for a row with any violation; builds no message text."""
-    failed = [rule.failed for rule in contract.rules(df, document)]
+    failed = [rule.failed for rule in contract.rules(prepared, document)]
     return reduce(or_, failed, F.lit(False))
 
 
 def validate(df: DataFrame, contract: Contract, document: str | None = None) -> DataFrame:
     """Add ``_reasons`` to every row."""
-    return df.withColumn("_reasons", reasons(df, contract, document))
+    prepared = contract.prepare(df, document)
+    found = reasons(prepared, contract, document).alias("_reasons")
+    return prepared.select(*df.columns, found)
+
+
+def flagged(df: DataFrame, contract: Contract, document: str | None = None) -> DataFrame:
+    """Add ``_rejected`` to every row, without the text of the reasons."""
+    prepared = contract.prepare(df, document)
+    return prepared.select(*df.columns, violates(prepared, contract, document).alias("_rejected"))
 
 
 def split_valid(
     df: DataFrame, contract: Contract, document: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with ``_reasons``)."""
-    bad = violates(df, contract, document)
-    return df.filter(~bad), validate(df.filter(bad), contract, document)
+    prepared = contract.prepare(df, document)
+    bad = violates(prepared, contract, document)
+    found = reasons(prepared, contract, document).alias("_reasons")
+    accepted = prepared.filter(~bad).select(*df.columns)
+    return accepted, prepared.filter(bad).select(*df.columns, found)
 
 
 def unknown_fields(
@@ -127,9 +138,8 @@ def gate(
     joined: with no refused unit the rows are never shuffled. ``strict`` raises
     when any unit is refused.
     """
-    report = materialize(
-        gate_report(df, unit, violates(df, contract, document), max_reject_ratio)
-    )
+    checked = flagged(df, contract, document)
+    report = materialize(gate_report(checked, unit, F.col("_rejected"), max_reject_ratio))
     refused = report.filter(~F.col("passed"))
     if strict:
         message = failure_message(contract, unit, max_reject_ratio)

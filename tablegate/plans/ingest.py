@@ -222,11 +222,13 @@ def _checked_rows(parsed: DataFrame, contract: Contract, series: Mapping[str, st
         defaults={"latitude": "_latitude", "longitude": "_longitude"},
     )
     fields = [c for c in contract.field_names if c in flat.columns]
-    checked = flat.withColumn("_reasons", reasons(flat.select(fields), contract))
+    prepared = contract.prepare(flat)
+    decoded = [c for c in prepared.columns if c not in flat.columns]
+    checked = prepared.withColumn("_reasons", reasons(prepared.select(*fields, *decoded), contract))
     rejected = F.size("_reasons") > 0
     return checked.select(
         "observation_date",
-        *contract.typed(flat),
+        *contract.typed(prepared),
         "_source_payload_hash",
         "_reasons",
         rejected.alias("_rejected"),

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tablegate.operators.validate import (
     empty_units,
+    flagged,
     gate,
     gate_report,
     split_valid,
     unknown_fields,
     validate,
-    violates,
 )
 from tablegate.plans.registered import Query
 from tablegate.plans.registered.inputs import table
@@ -53,8 +53,8 @@ def split_rejected(spark, folder):
 
 
 def report(spark, folder):
-    events = events_by_day(spark, folder)
-    return gate_report(events, UNIT, violates(events, EVENT))
+    events = flagged(events_by_day(spark, folder), EVENT)
+    return gate_report(events, UNIT, F.col("_rejected"))
 
 
 def gate_accepted(spark, folder):

@@ -48,9 +48,8 @@ READINGS_SQL = """
 
 def observations(events: DataFrame, entity: str) -> DataFrame:
     """Rows shaped like the raw table, with ``entity`` as the city."""
-    city = F.col(entity).cast("string")
-    k = prop_k()
-    return events.select(
+    city, k = F.col(entity).cast("string"), F.col("k")
+    return events.withColumn("k", prop_k()).select(
         city.alias("city_id"),
         F.lit(0.0).alias("latitude"),
         F.lit(0.0).alias("longitude"),

@@ -94,12 +94,13 @@ def new_series(spark, folder):
 
 def responses(spark, folder):
     """A response log: the status follows from ``k``, some bodies are cut short."""
-    k = prop_k()
+    events = table(spark, folder, "events").select("event_id", "props", prop_k().alias("k"))
+    k = F.col("k")
     status = (
         F.when(k < 60, 200).when(k < 70, 429).when(k < 80, 503).when(k < 90, 400).when(k >= 95, 200)
     )
     body = F.when(k >= 95, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
-    log = table(spark, folder, "events").select("event_id", status.alias("status"), body.alias("body"))
+    log = events.select("event_id", status.alias("status"), body.alias("body"))
     return classify_responses(log).select("event_id", "outcome", "problem")
 
 

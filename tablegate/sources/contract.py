@@ -72,6 +72,10 @@ ACCEPTED_KINDS = {
 }
 
 
+# Prefixes of the columns that hold a decoded variant while it is checked.
+_VALUE, _TYPE, _PARSED = "__value_", "__type_", "__parsed_"
+
+
 @dataclass(frozen=True)
 class Rule:
     """``failed`` is never null; ``message`` is only read where it is true."""
@@ -94,8 +98,6 @@ class FieldSpec:
         """Rules for a column of ``data_type``; ``value`` None means absent."""
         if value is None or isinstance(data_type, T.NullType):
             return [self._rule(F.lit(True), "required field is null")] if self.required else []
-        if isinstance(data_type, T.VariantType):
-            return self._variant_rules(value)
 
         present = value.isNotNull()
         rules = [self._rule(~present, "required field is null")] if self.required else []
@@ -113,17 +115,38 @@ class FieldSpec:
             return rules + self._range(value.cast("double"), F.initcap(value.cast("string")))
         return rules
 
-    def _variant_rules(self, value: Column) -> list[Rule]:
-        present = value.isNotNull() & ~F.is_variant_null(value)
+    def prepared(self, value: Column) -> dict[str, Column]:
+        """What the rules ask of a variant, so that each row is decoded once."""
+        columns = {_VALUE + self.name: value, _TYPE + self.name: F.schema_of_variant(value)}
+        if self.type in ("integer", "float", "boolean"):
+            columns[_PARSED + self.name] = F.try_variant_get(value, "$", "double")
+        elif self.type == "timestamp":  # JSON has no timestamps, only their text
+            columns[_PARSED + self.name] = parse_utc(F.try_variant_get(value, "$", "string"))
+        return columns
+
+    def variant_rules(self) -> list[Rule]:
+        """Rules over the columns of :meth:`prepared`."""
+        value, stored = F.col(_VALUE + self.name), F.col(_TYPE + self.name)
+        present = F.coalesce(stored != "VOID", F.lit(False))
         rules = [self._rule(~present, "required field is null")] if self.required else []
         if self.type not in ACCEPTED_KINDS:
             return [*rules, self._unknown_type(present)]
 
-        stored = F.schema_of_variant(value)
+        is_float = stored.startswith("DECIMAL") | stored.isin("DOUBLE", "FLOAT")
+        fits = {
+            "string": stored == "STRING",
+            "integer": stored == "BIGINT",
+            "float": (stored == "BIGINT") | is_float,
+            "boolean": stored == "BOOLEAN",
+            "timestamp": stored.startswith("TIMESTAMP")
+            | ((stored == "STRING") & F.col(_PARSED + self.name).isNotNull())
+            if self.type == "timestamp"
+            else None,
+        }[self.type]
         kind = (
             F.when(stored == "STRING", "str")
             .when(stored == "BIGINT", "int")
-            .when(stored.startswith("DECIMAL") | stored.isin("DOUBLE", "FLOAT"), "float")
+            .when(is_float, "float")
             .when(stored == "BOOLEAN", "boolean")
             .when(stored.startswith("TIMESTAMP"), "datetime")
             .when(stored == "DATE", "date")
@@ -131,22 +154,13 @@ class FieldSpec:
             .when(stored.startswith("OBJECT"), "dict")
             .otherwise(stored)
         )
-        fits = kind.isin(*ACCEPTED_KINDS[self.type])
-        if self.type == "timestamp":  # JSON has no timestamps, only their text
-            text = F.try_variant_get(value, "$", "string")
-            fits = fits | ((kind == "str") & parse_utc(text).isNotNull())
-        rules.append(
-            Rule(
-                self.name,
-                present & ~F.coalesce(fits, F.lit(False)),
-                F.concat(F.lit(f"{self.name}: expected {self.type}, got "), kind),
-            )
-        )
+        message = F.concat(F.lit(f"{self.name}: expected {self.type}, got "), kind)
+        rules.append(Rule(self.name, present & ~F.coalesce(fits, F.lit(False)), message))
         if self.type in ("integer", "float", "boolean"):
-            number = F.try_variant_get(value, "$", "double")
+            number = F.col(_PARSED + self.name)
             text = (
-                F.when(kind == "float", number_text(number))
-                .when(kind == "boolean", F.initcap(F.to_json(value)))
+                F.when(is_float, number_text(number))
+                .when(stored == "BOOLEAN", F.initcap(F.to_json(value)))
                 .otherwise(F.to_json(value))
             )
             rules += self._range(F.when(fits, number), text)
@@ -234,27 +248,38 @@ class Contract:
             struct.add(spec.name, SPARK_TYPES[spec.type], not spec.required)
         return struct
 
-    def rules(self, df: DataFrame, document: str | None = None) -> list[Rule]:
-        """All rules in contract order, over the columns of ``df``.
+    def prepare(self, df: DataFrame, document: str | None = None) -> DataFrame:
+        """Decode what has to be checked value by value.
 
-        With ``document`` the fields are read from that variant column instead,
-        and types are checked value by value.
+        That is every field of the variant column ``document`` when given, else
+        the fields whose column is a variant. Typed columns are left alone, so
+        filters on them still reach the scan.
         """
+        columns = {}
+        for spec in self.fields:
+            if document is not None:
+                value = F.try_variant_get(F.col(document), f"$['{spec.name}']", "variant")
+            elif spec.name in df.columns and isinstance(df.schema[spec.name].dataType, T.VariantType):
+                value = F.col(f"`{spec.name}`")
+            else:
+                continue
+            columns |= spec.prepared(value)
+        return df.withColumns(columns) if columns else df
+
+    def rules(self, prepared: DataFrame, document: str | None = None) -> list[Rule]:
+        """All rules in contract order, over the frame from :meth:`prepare`."""
         rules = []
         for spec in self.fields:
-            value, data_type = self._source(df, document, spec.name)
-            rules += spec.rules(value, data_type)
+            if _VALUE + spec.name in prepared.columns:
+                rules += spec.variant_rules()
+            elif spec.name in prepared.columns:
+                rules += spec.rules(F.col(f"`{spec.name}`"), prepared.schema[spec.name].dataType)
+            else:
+                rules += spec.rules(None, None)
         if self.unknown_field_action == "reject":
-            rules += self._unknown_rules(df, document)
+            rules += self._unknown_rules(prepared, document)
         return rules
 
-    def _source(self, df, document, name) -> tuple[Column | None, T.DataType | None]:
-        if document is not None:
-            return F.try_variant_get(F.col(document), f"$['{name}']", "variant"), T.VariantType()
-        if name in df.columns:
-            return F.col(f"`{name}`"), df.schema[name].dataType
-        return None, None
-
     def unknown_names(self, document: Column) -> Column:
         """Sorted names in a variant object that the contract does not describe."""
         names = F.map_keys(F.try_variant_get(document, "$", "map<string,variant>"))
@@ -277,19 +302,18 @@ class Contract:
         failed = F.coalesce(F.size(names) > 0, F.lit(False))
         return [Rule("", failed, F.concat(F.lit(prefix), quoted, F.lit("]")))]
 
-    def typed(self, df: DataFrame, document: str | None = None) -> list[Column]:
-        """The contract's fields as typed columns, for rows that passed."""
+    def typed(self, prepared: DataFrame) -> list[Column]:
+        """The contract's fields as typed columns, over the frame from :meth:`prepare`."""
         columns = []
         for spec in self.fields:
-            value, data_type = self._source(df, document, spec.name)
             target = SPARK_TYPES[spec.type]
-            if value is None:
-                typed = F.lit(None).cast(target)
-            elif not isinstance(data_type, T.VariantType):
-                typed = value.cast(target)
-            elif spec.type == "timestamp":
-                typed = parse_utc(F.try_variant_get(value, "$", "string"))
+            if _VALUE + spec.name not in prepared.columns:
+                known = spec.name in prepared.columns
+                typed = (F.col(f"`{spec.name}`") if known else F.lit(None)).cast(target)
+            elif spec.type in ("float", "timestamp"):
+                typed = F.col(_PARSED + spec.name)
             else:
+                value = F.col(_VALUE + spec.name)
                 typed = F.try_variant_get(value, "$", target.simpleString())
             columns.append(typed.alias(spec.name))
         return columns

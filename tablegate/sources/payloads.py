@@ -40,12 +40,12 @@ def classify_responses(df: DataFrame, status: str = "status", body: str = "body"
         .when(code >= 400, F.concat(F.lit("returned "), code.cast("string")))
         .when(F.try_parse_json(F.col(body)).isNull(), "non-JSON body")
     )
+    rejected = code.between(400, 499) & (code != 429)
     outcome = (
-        F.when(code.between(400, 499) & (code != 429), "permanent")
-        .when(problem.isNotNull(), "transient")
-        .otherwise("ok")
+        F.when(F.col("problem").isNull(), "ok").when(rejected, "permanent").otherwise("transient")
     )
-    return df.withColumn("outcome", outcome).withColumn("problem", problem)
+    # Two steps, so that the body is parsed once.
+    return df.withColumn("problem", problem).withColumn("outcome", outcome)
 
 
 def _series(document: Column, name: str) -> Column:

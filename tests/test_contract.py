@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tablegate.operators.validate import reasons, split_valid, unknown_fields, validate, violates
+from tablegate.operators.validate import flagged, reasons, split_valid, unknown_fields, validate
 from tablegate.sources.contract import Contract, ContractError, FieldSpec
 
 SCHEMA = (
@@ -42,7 +42,7 @@ def check_json(spark, contract, **changes):
     )
     checked = validate(df, contract, document="doc")
     found = list(checked.first()["_reasons"])
-    assert df.select(violates(df, contract, "doc").alias("v")).first()["v"] == bool(found)
+    assert flagged(df, contract, "doc").first()["_rejected"] == bool(found)
     return found
 
 

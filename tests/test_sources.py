@@ -88,6 +88,7 @@ def flat(parsed):
 
 def test_flatten(spark, contract):
     rows = flat(payloads(spark, make_payload()))
+    rows = contract.prepare(rows)
     typed = rows.select(contract.typed(rows)).orderBy("observed_at_utc").collect()
     assert len(typed) == 24
     assert typed[5].observed_at_utc == datetime(2026, 8, 20, 5)
@@ -124,7 +125,7 @@ def test_nulls_and_absent_series(spark, contract):
         spark,
         make_payload(hours=3, temperature_2m=[1.0, None, 3.0], precipitation=..., weather_code=None),
     )
-    rows = flat(parsed)
+    rows = contract.prepare(flat(parsed))
     typed = rows.select(contract.typed(rows)).orderBy("observed_at_utc").collect()
     assert [r.temperature_2m_c for r in typed] == [1.0, None, 3.0]
     assert [r.precipitation_mm for r in typed] == [None] * 3
@@ -132,7 +133,7 @@ def test_nulls_and_absent_series(spark, contract):
 
 
 def test_absent_latitude_falls_back_and_null_does_not(spark, contract):
-    absent = flat(payloads(spark, make_payload(hours=1, top={"latitude": ...})))
+    absent = contract.prepare(flat(payloads(spark, make_payload(hours=1, top={"latitude": ...}))))
     assert absent.select(contract.typed(absent)).first().latitude == 1.0
     null = flat(payloads(spark, make_payload(hours=1, top={"latitude": None})))
     reasons = validate(null.select(contract.field_names), contract).first()["_reasons"]
