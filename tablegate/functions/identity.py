@@ -43,6 +43,11 @@ def payload_hash(document: Column | str) -> Column:
     return F.sha2(canonical_json(document), 256)
 
 
+def document_hash(document: Column | str) -> Column:
+    """The same for a document that is parsed already."""
+    return F.sha2(F.to_json(_col(document)), 256)
+
+
 def _key_text(column: Column, data_type: T.DataType) -> Column:
     # A zero fraction is dropped by a plain cast, so timestamps get a format.
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):

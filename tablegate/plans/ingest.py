@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.functions.identity import batch_id
+from tablegate.functions.identity import batch_id, document_hash
 from tablegate.operators.audit import (
     AUDIT_SCHEMA,
     FAILED,
@@ -167,7 +167,7 @@ def ingest_units(
 def _parsed(payloads: DataFrame, contract: Contract, series: Mapping[str, str]) -> DataFrame:
     """Payloads with their arrays, their hash and what is wrong with them."""
     parsed = with_series(payloads, series, "city_id").withColumn(
-        "_source_payload_hash", F.sha2(F.to_json("_document"), 256)
+        "_source_payload_hash", document_hash("_document")
     )
     if contract.unknown_field_action != "reject":
         return parsed

@@ -75,10 +75,8 @@ def unknown(spark, folder):
 
 
 def typed_json_violations(spark, folder):
-    checked = validate(_parsed_props(spark, folder), PROPS, document="document")
-    return checked.filter(F.size("_reasons") > 0).select(
-        "event_id", F.array_join("_reasons", ";").alias("reasons")
-    )
+    rejected = split_valid(_parsed_props(spark, folder), PROPS, document="document")[1]
+    return rejected.select("event_id", F.array_join("_reasons", ";").alias("reasons"))
 
 
 def empty(spark, folder):

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tablegate.functions.text import number_text
 from tablegate.functions.time import parse_utc
+from tablegate.operators.once import computed_once
 
 
 class ContractError(RuntimeError):
@@ -116,7 +117,7 @@ class FieldSpec:
         return rules
 
     def prepared(self, value: Column) -> dict[str, Column]:
-        """What the rules ask of a variant, so that each row is decoded once."""
+        """What the rules ask of a variant."""
         columns = {_VALUE + self.name: value, _TYPE + self.name: F.schema_of_variant(value)}
         if self.type in ("integer", "float", "boolean"):
             columns[_PARSED + self.name] = F.try_variant_get(value, "$", "double")
@@ -264,7 +265,7 @@ class Contract:
             else:
                 continue
             columns |= spec.prepared(value)
-        return df.withColumns(columns) if columns else df
+        return computed_once(df, columns) if columns else df
 
     def rules(self, prepared: DataFrame, document: str | None = None) -> list[Rule]:
         """All rules in contract order, over the frame from :meth:`prepare`."""

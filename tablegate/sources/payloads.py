@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.operators.once import computed_once
+
 
 def read_payloads(
     spark: SparkSession,
@@ -44,8 +46,7 @@ def classify_responses(df: DataFrame, status: str = "status", body: str = "body"
     outcome = (
         F.when(F.col("problem").isNull(), "ok").when(rejected, "permanent").otherwise("transient")
     )
-    # Two steps, so that the body is parsed once.
-    return df.withColumn("problem", problem).withColumn("outcome", outcome)
+    return computed_once(df, {"problem": problem}).withColumn("outcome", outcome)
 
 
 def _series(document: Column, name: str) -> Column:
@@ -67,12 +68,10 @@ def with_series(
     first one in mapping order). Padding a short array would move values onto
     the wrong hour, so such a unit is refused.
     """
-    parsed = payloads.withColumn("_document", F.try_parse_json(F.col(text)))
+    parsed = computed_once(payloads, {"_document": F.try_parse_json(F.col(text))})
     document = F.col("_document")
-    parsed = parsed.withColumn("_time", _series(document, time))
-    parsed = parsed.withColumns(
-        {f"_series_{target}": _series(document, source) for target, source in series.items()}
-    )
+    arrays = {f"_series_{target}": _series(document, source) for target, source in series.items()}
+    parsed = computed_once(parsed, {"_time": _series(document, time), **arrays})
     points = F.size("_time")
     problem = F.when(document.isNull(), "payload is not JSON").when(
         F.col("_time").isNull() | (points == 0), "producer returned no rows"
@@ -91,7 +90,7 @@ def with_series(
                 F.format_string("has %d points but 'time' has %d", F.size(values), points),
             ),
         )
-    return parsed.withColumn("_problem", problem)
+    return computed_once(parsed, {"_problem": problem})
 
 
 def refused_units(parsed: DataFrame, unit: Sequence[str]) -> DataFrame:

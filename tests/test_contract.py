@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tablegate.operators.once import computed_once
 from tablegate.operators.validate import flagged, reasons, split_valid, unknown_fields, validate
 from tablegate.sources.contract import Contract, ContractError, FieldSpec
 
@@ -191,3 +192,21 @@ def test_reasons_stay_in_generated_code(spark, contract):
     df = spark.createDataFrame([tuple(VALID.values())], SCHEMA)
     plan = validate(df, contract)._jdf.queryExecution().executedPlan().toString()
     assert "*(1) Project" in plan
+
+
+def test_variants_are_decoded_once(spark, contract):
+    """A filter on the result must not pull the parsing into every rule."""
+    df = spark.createDataFrame([("{}",)], "text string")
+    df = computed_once(df, {"doc": F.try_parse_json("text")})
+    rejected = split_valid(df, contract, "doc")[1]
+    plan = rejected._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
+    assert plan.count("schemaOfVariant") <= len(contract.fields)
+
+
+def test_filters_pass_a_computed_column(spark, tmp_path):
+    spark.createDataFrame([(1, "{}")], "k int, text string").write.parquet(str(tmp_path / "t"))
+    df = computed_once(spark.read.parquet(str(tmp_path / "t")), {"doc": F.try_parse_json("text")})
+    assert df.filter("k = 1").filter(F.col("doc").isNotNull()).count() == 1
+    plan = df.filter("k = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(k,1)" in plan
