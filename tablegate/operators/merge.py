@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.operators.dedupe import dedupe_latest
+from tablegate.operators.joins import semi_join
 from tablegate.session import materialize, read_if_exists, staged
 from tablegate.sources.landing import write_partitions
 
-# Above this many touched partitions the target is read by range, not by list.
+# So many partitions are named one by one in a filter.
 _LISTED_PARTITIONS = 1000
 
 
@@ -102,29 +103,24 @@ def upsert(
     as a landed table.
     """
     if latest_by is not None:
-        source = dedupe_latest(source, keys, latest_by)
+        with staged(dedupe_latest(source, keys, latest_by), "merge-source") as latest:
+            return upsert(
+                spark, path, latest, keys, partition, guard, count_by=count_by, schema=schema
+            )
     group = [*count_by, *([] if partition in count_by else [partition])]
 
     target = read_if_exists(spark, path, schema)
     if target is None:
         target = spark.createDataFrame([], schema or source.schema)
-    touched = source.select(partition).distinct()
-    listed = [row[0] for row in touched.limit(_LISTED_PARTITIONS + 1).collect()]
-    if not listed:
-        target = target.limit(0)
-    elif len(listed) <= _LISTED_PARTITIONS:
-        target = target.filter(F.col(partition).isin(listed))
-    else:
-        low, high = touched.agg(F.min(partition), F.max(partition)).first()
-        target = target.filter(F.col(partition).between(low, high))
+    touched = materialize(source.select(partition).distinct())
+    target = _partitions(target, touched, partition)
 
     counts = materialize(merge_counts(merge_rows(target, source, keys, guard), group))
     changed = counts.filter("rows_inserted + rows_updated > 0").select(partition).distinct()
-    days = [row[0] for row in changed.collect()]  # one value per changed partition
-    if days:
+    if not changed.isEmpty():
         merged = merge_rows(
-            target.filter(F.col(partition).isin(days)),
-            source.filter(F.col(partition).isin(days)),
+            _partitions(target, changed, partition),
+            _partitions(source, changed, partition),
             keys,
             guard,
         )
@@ -132,6 +128,20 @@ def upsert(
     return counts
 
 
+def _partitions(df: DataFrame, values: DataFrame, partition: str) -> DataFrame:
+    """The rows of some partitions, listed as literals so that the scan is pruned.
+
+    Too many to list are pruned by their range and then matched by a join.
+    """
+    listed = [row[0] for row in values.limit(_LISTED_PARTITIONS + 1).collect()]
+    if not listed:
+        return df.limit(0)
+    if len(listed) <= _LISTED_PARTITIONS:
+        return df.filter(F.col(partition).isin(listed))
+    low, high = values.agg(F.min(partition), F.max(partition)).first()
+    return semi_join(df.filter(F.col(partition).between(low, high)), values, [partition])
+
+
 def incremental_merge(
     spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], partition: str
 ) -> DataFrame:

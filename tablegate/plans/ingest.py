@@ -113,12 +113,14 @@ def ingest_units(
     full_refresh: bool = False,
     land_only: bool = False,
     started_at: datetime | None = None,
+    days: tuple[date, date] | None = None,
 ) -> DataFrame:
     """Ingest one payload (``city_id, observation_date, payload``) per unit.
 
     Returns one row per unit with status, counts and error. A planned unit
     without payload or rows is a failure, not an empty batch. ``full_refresh``
     ignores earlier loads and updates matched rows even when the hash is equal.
+    ``days``, if known, limits how much of the audit is read.
     """
     preflight(contract, catalogue)
     started = (started_at or datetime.now(tz=UTC)).replace(tzinfo=None)
@@ -129,6 +131,8 @@ def ingest_units(
     previous = None
     if not (full_refresh or land_only):
         previous = read_if_exists(spark, store.audit, AUDIT_SCHEMA)
+    if previous is not None and days is not None:
+        previous = previous.filter(F.col("observation_date").between(*days))
 
     # One narrow pass decides per unit; only units still to load are flattened.
     units = materialize(_unit_states(parsed, plan, previous))
@@ -329,6 +333,7 @@ def ingest_range(
         store,
         run_id,
         plan=plan,
+        days=window,
         **options,
     )
     if strict:
