@@ -2,7 +2,7 @@
 
 from tablegate.functions.identity import batch_id, canonical_json, payload_hash, row_hash, surrogate_key
 from tablegate.functions.text import number_text
-from tablegate.functions.time import hour_start, iso_weekday, parse_utc
+from tablegate.functions.time import hour_start, iso_weekday, parse_utc, utc_literal
 from tablegate.functions.values import band, exact_avg, exact_sum
 
 __all__ = [
@@ -18,4 +18,5 @@ __all__ = [
     "payload_hash",
     "row_hash",
     "surrogate_key",
+    "utc_literal",
 ]

@@ -23,7 +23,7 @@ def batch_id(entity: Column | str, day: Column | str, version: int = 1) -> Colum
     key = F.concat(
         _col(entity).cast("string"),
         F.lit(BATCH_SEPARATOR),
-        F.date_format(_col(day), "yyyy-MM-dd"),
+        _col(day).cast("date").cast("string"),
         F.lit(f"{BATCH_SEPARATOR}v{version}"),
     )
     return F.substring(F.sha2(key, 256), 1, BATCH_ID_LENGTH)
@@ -49,10 +49,12 @@ def document_hash(document: Column | str) -> Column:
 
 
 def _key_text(column: Column, data_type: T.DataType) -> Column:
-    # A zero fraction is dropped by a plain cast, so timestamps get a format.
+    text = column.cast("string")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return column.cast("string")
+        # The cast drops trailing zeros of the fraction; six digits are restored.
+        whole = F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text)
+        return F.rpad(whole, 26, "0")
+    return text
 
 
 def surrogate_key(df: DataFrame, columns: list[str]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,9 +24,20 @@ def parse_utc(text: Column) -> Column:
     return F.when(offset == "", local).otherwise(shifted)
 
 
+def utc_literal(at: datetime) -> Column:
+    """A moment as ``timestamp_ntz`` in UTC; one without a zone is taken as UTC."""
+    if at.tzinfo is not None:
+        at = at.astimezone(UTC).replace(tzinfo=None)
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def hour_start(ts: Column | str) -> Column:
-    """Start of the hour, kept as ``timestamp_ntz``."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """Start of the hour of a ``timestamp_ntz``.
+
+    ``date_trunc`` would go through a zoned timestamp and move the hours that a
+    daylight saving change skips.
+    """
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
 
 
 def iso_weekday(day: Column | str) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions.time import utc_literal
+
 # Columns of the audit table, status names, length of an error.
 AUDIT_SCHEMA = T.StructType(
     [
@@ -84,7 +86,7 @@ def skip_unchanged(
 
 def recent_attempts(audit: DataFrame, as_of: datetime, hours: int = 12) -> DataFrame:
     """Attempts of the last hours, newest first: the first look in an incident."""
-    since = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"interval {hours} hours")
+    since = utc_literal(as_of) - F.expr(f"interval {hours} hours")
     return audit.filter(F.col("started_at_utc") >= since).orderBy(F.col("started_at_utc").desc())
 
 
@@ -124,7 +126,7 @@ def cost_by_tag(
     """Queries, seconds and credits per tag; ``pattern`` ignores case."""
     return (
         queries.filter(
-            (F.col("start_time") >= F.lit(since).cast("timestamp_ntz"))
+            (F.col("start_time") >= utc_literal(since))
             & F.col("query_tag").ilike(pattern)
         )
         .groupBy("query_tag")
@@ -140,8 +142,8 @@ def cost_by_tag(
 def cost_by_day(metering: DataFrame, since: datetime, price: float = 3) -> DataFrame:
     """Credits and their price per warehouse and day."""
     return (
-        metering.filter(F.col("start_time") >= F.lit(since).cast("timestamp_ntz"))
-        .groupBy("warehouse_name", F.date_trunc("day", "start_time").cast("timestamp_ntz").alias("day"))
+        metering.filter(F.col("start_time") >= utc_literal(since))
+        .groupBy("warehouse_name", F.to_date("start_time").cast("timestamp_ntz").alias("day"))
         .agg(
             F.sum("credits_used").alias("credits"),
             (F.sum("credits_used") * price).alias("usd"),

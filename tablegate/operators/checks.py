@@ -11,6 +11,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablegate.functions.time import utc_literal
+
 # Freshness limits in hours, readings of a complete day, days
 # before the newest one that may still fill up, tolerated clock skew in hours.
 WARN_HOURS = 30
@@ -43,7 +45,7 @@ def is_outside(
 
 
 def is_future(column: str, as_of: datetime, hours: int = SKEW_HOURS) -> Column:
-    limit = F.lit(as_of).cast("timestamp_ntz") + F.expr(f"interval {hours} hours")
+    limit = utc_literal(as_of) + F.expr(f"interval {hours} hours")
     return F.col(column) > limit
 
 
@@ -111,7 +113,7 @@ def check_freshness(
     error_hours: int = ERROR_HOURS,
 ) -> DataFrame:
     """Newest load per group with status pass, warn or error; no load is an error."""
-    now = F.lit(as_of).cast("timestamp_ntz")
+    now = utc_literal(as_of)
     newest = F.col("max_loaded_at")
     status = (
         F.when(newest.isNull() | (newest < now - F.expr(f"interval {error_hours} hours")), "error")

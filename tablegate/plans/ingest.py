@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.functions.identity import batch_id, document_hash
+from tablegate.functions.time import utc_literal
 from tablegate.operators.audit import (
     AUDIT_SCHEMA,
     FAILED,
@@ -123,7 +124,7 @@ def ingest_units(
     ``days``, if known, limits how much of the audit is read.
     """
     preflight(contract, catalogue)
-    started = (started_at or datetime.now(tz=UTC)).replace(tzinfo=None)
+    started = started_at or datetime.now(tz=UTC)
     places = catalogue.select(
         "city_id", F.col("latitude").alias("_latitude"), F.col("longitude").alias("_longitude")
     )
@@ -149,7 +150,7 @@ def ingest_units(
         accepted = with_metadata(
             passing.drop("_rejected", "_reasons", "_row"),
             {
-                "_ingested_at_utc": F.lit(started).cast("timestamp_ntz"),
+                "_ingested_at_utc": utc_literal(started),
                 "_batch_id": batch_id("city_id", "observation_date", contract.version),
                 "_contract_version": F.lit(contract.version),
             },
@@ -289,8 +290,8 @@ def _write_audit(results, store, contract, run_id, started) -> None:
                 "run_id": F.lit(run_id),
                 "dataset": F.lit(contract.name),
                 "contract_version": F.lit(contract.version),
-                "started_at_utc": F.lit(started),
-                "finished_at_utc": F.lit(datetime.now(tz=UTC).replace(tzinfo=None)),
+                "started_at_utc": utc_literal(started),
+                "finished_at_utc": utc_literal(datetime.now(tz=UTC)),
             }
         ),
         store.audit,

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.functions import band, exact_avg, exact_sum, hour_start, iso_weekday, surrogate_key
+from tablegate.functions import (
+    band,
+    exact_avg,
+    exact_sum,
+    hour_start,
+    iso_weekday,
+    surrogate_key,
+    utc_literal,
+)
 from tablegate.operators.checks import HOURS_PER_DAY
 from tablegate.operators.dedupe import dedupe_latest
 from tablegate.operators.incremental import (
@@ -98,8 +106,7 @@ def dim_city(cities: DataFrame, covered: DataFrame) -> DataFrame:
 
 
 def _updated_at(as_of: datetime | None) -> Column:
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    return now.cast("timestamp_ntz").alias("dbt_updated_at")
+    return utc_literal(as_of or datetime.now(tz=UTC)).alias("dbt_updated_at")
 
 
 def fct_weather_hourly(

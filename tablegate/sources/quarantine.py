@@ -61,8 +61,11 @@ def write_quarantine(
     rows = lines
     old = _read(lines.sparkSession, path, lines.select(*unit).schema)
     if run_units is not None and old is not None:
+        # Only the run's span of the first unit key is read of what was there.
+        low, high = run_units.agg(F.min(unit[0]), F.max(unit[0])).first()
         stale = (
-            old.select(*unit)
+            old.filter(F.col(unit[0]).between(low, high))
+            .select(*unit)
             .distinct()
             .join(run_units.select(*unit), list(unit), "left_semi")
             .join(lines.select(*unit).distinct(), list(unit), "left_anti")

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import hashlib
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from tablegate.functions import (
     payload_hash,
     row_hash,
     surrogate_key,
+    utc_literal,
 )
 
 
@@ -84,6 +85,27 @@ def test_parse_utc(spark, text, expected, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_no_hour_is_lost_to_daylight_saving(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        skipped = datetime(2024, 3, 10, 2, 30)  # does not exist in New York
+        df = spark.createDataFrame([(skipped, date(2024, 3, 10))], "t timestamp_ntz, d date")
+        shifted = datetime(2024, 3, 10, 2, 30, tzinfo=timezone(timedelta(hours=2)))
+        row = df.select(
+            hour_start("t").alias("start"),
+            F.hour("t").alias("hour"),
+            surrogate_key(df, ["t"]).alias("key"),
+            (utc_literal(skipped) == F.col("t")).alias("same"),
+            utc_literal(shifted).alias("shifted"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (row.start, row.hour, row.same) == (datetime(2024, 3, 10, 2), 2, True)
+    assert row.key == hashlib.md5(b"2024-03-10 02:30:00.000000").hexdigest()
+    assert row.shifted == datetime(2024, 3, 10, 0, 30)
+
+
 def test_time_parts(spark):
     sunday = datetime(2026, 8, 23, 5, 59, 59)
     assert one(spark, sunday, "timestamp_ntz", hour_start) == datetime(2026, 8, 23, 5)

@@ -45,6 +45,9 @@ def kind(text):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
     df = QUERIES[name](spark, FOLDER)
+    physical = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert node not in physical
     columns = sorted(df.columns)
     got = Counter(tuple(plain(v) for v in row) for row in df.select(columns).collect())
     if name not in SQL:
