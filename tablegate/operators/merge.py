@@ -136,10 +136,12 @@ def _partitions(df: DataFrame, values: DataFrame, partition: str) -> DataFrame:
     listed = [row[0] for row in values.limit(_LISTED_PARTITIONS + 1).collect()]
     if not listed:
         return df.limit(0)
+    value = F.col(partition)
     if len(listed) <= _LISTED_PARTITIONS:
-        return df.filter(F.col(partition).isin(listed))
+        named = value.isin([v for v in listed if v is not None])
+        return df.filter(named | value.isNull() if None in listed else named)
     low, high = values.agg(F.min(partition), F.max(partition)).first()
-    return semi_join(df.filter(F.col(partition).between(low, high)), values, [partition])
+    return semi_join(df.filter(value.between(low, high) | value.isNull()), values, [partition])
 
 
 def incremental_merge(

@@ -28,6 +28,7 @@ from tablegate.operators.audit import (
 from tablegate.operators.incremental import clamp_range, work_units
 from tablegate.operators.joins import anti_join, semi_join, small
 from tablegate.operators.merge import upsert
+from tablegate.operators.once import computed_once
 from tablegate.operators.validate import (
     MAX_REJECT_RATIO,
     DataQualityError,
@@ -118,8 +119,9 @@ def ingest_units(
 ) -> DataFrame:
     """Ingest one payload (``city_id, observation_date, payload``) per unit.
 
-    Returns one row per unit with status, counts and error. A planned unit
-    without payload or rows is a failure, not an empty batch. ``full_refresh``
+    Returns one row per unit with status, counts, error and the names of series
+    in its payload that the contract does not know. A planned unit without
+    payload or rows is a failure, not an empty batch. ``full_refresh``
     ignores earlier loads and updates matched rows even when the hash is equal.
     ``days``, if known, limits how much of the audit is read.
     """
@@ -174,11 +176,12 @@ def _parsed(payloads: DataFrame, contract: Contract, series: Mapping[str, str])
     parsed = with_series(payloads, series, "city_id").withColumn(
         "_source_payload_hash", document_hash("_document")
     )
+    names = F.array_join(unknown_names(series), ", ")
+    parsed = computed_once(parsed, {"_unknown": F.nullif(names, F.lit(""))})
     if contract.unknown_field_action != "reject":
         return parsed
-    names = F.array_join(unknown_names(series), ", ")
-    problem = F.concat(F.lit("unknown fields not allowed by contract: "), names)
-    return parsed.withColumn("_problem", F.when(names != "", problem).otherwise(F.col("_problem")))
+    problem = F.concat(F.lit("unknown fields not allowed by contract: "), F.col("_unknown"))
+    return parsed.withColumn("_problem", F.coalesce(problem, "_problem"))
 
 
 def _unit_states(
@@ -189,6 +192,7 @@ def _unit_states(
         *UNIT,
         F.col("_source_payload_hash").alias("source_payload_hash"),
         F.col("_problem").alias("problem"),
+        F.col("_unknown").alias("unknown_fields"),
     )
     if plan is not None:
         nothing = F.col("source_payload_hash").isNull() & F.col("problem").isNull()
@@ -280,6 +284,7 @@ def _results(units, report, counts, contract, max_reject_ratio, error=None) -> D
         F.coalesce(
             "problem", F.when(refused, message), F.when(broken, F.lit(error))
         ).alias("error_message"),
+        "unknown_fields",
     )
 
 

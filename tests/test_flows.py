@@ -161,10 +161,13 @@ def test_failed_merge_is_audited(site, monkeypatch):
 def test_unknown_series_can_be_refused(site):
     from dataclasses import replace
 
-    units = weather(cities=("oslo",), days=(20,), uv_index=[1] * 24)
+    units = weather(cities=("oslo",), days=(20,), uv_index=[1] * 24, rain=[0] * 24)
+    kept = site.ingest(units)[("oslo", day(20))]
+    assert (kept.status, kept.unknown_fields) == ("loaded", "rain, uv_index")
     site.contract = replace(site.contract, unknown_field_action="reject")
-    row = site.ingest(units)[("oslo", day(20))]
-    assert row.error_message == "unknown fields not allowed by contract: uv_index"
+    row = site.ingest(units, "r2")[("oslo", day(20))]
+    assert row.status == "failed"
+    assert row.error_message == "unknown fields not allowed by contract: rain, uv_index"
 
 
 def test_range_clamps_and_sums(site):

@@ -103,6 +103,19 @@ def test_upsert_is_idempotent(spark, tmp_path):
     assert [stamps[p] for p in untouched] == [p.stat().st_mtime_ns for p in untouched]
 
 
+@pytest.mark.parametrize("listed", [1000, 1])
+def test_upsert_keeps_rows_without_a_partition_value(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr("tablegate.operators.merge._LISTED_PARTITIONS", listed)
+    path = str(tmp_path / "t")
+    rows = frame(spark, (1, None, "a", "x"), (2, D1, "b", "x"), (3, D2, "c", "x"))
+    assert totals(upsert(spark, path, rows, ["k"], "day", "h")) == (3, 0)
+    assert totals(upsert(spark, path, rows, ["k"], "day", "h")) == (0, 0)
+    again = frame(spark, (1, None, "A", "y"), (2, D1, "B", "y"))
+    assert totals(upsert(spark, path, again, ["k"], "day", "h")) == (0, 2)
+    stored = spark.read.schema(SCHEMA).parquet(path)
+    assert {r.k: r.v for r in stored.collect()} == {1: "A", 2: "B", 3: "c"}
+
+
 def test_upsert_counts_per_group(spark, tmp_path):
     rows = frame(spark, (1, D1, "a", "x"), (2, D2, "a", "x"), (3, D2, "b", "x"))
     found = upsert(spark, str(tmp_path / "t"), rows, ["k"], "day", "h", count_by=["v"])

@@ -22,7 +22,8 @@ SQL = driver.oracle_sql()
 def oracle():
     connection = duckdb.connect()
     for path in Path(FOLDER).glob("*.parquet"):
-        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+        files = f"{path}/*.parquet" if path.is_dir() else path
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{files}'")
     return connection
 
 

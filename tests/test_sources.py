@@ -219,9 +219,23 @@ def test_temporary_files_are_ignored(spark, tmp_path):
     assert read_landed(spark, path, LANDED).count() == 2
 
 
-def test_hot_unit_is_split(spark):
-    df = landed(spark, date(2026, 8, 20), "oslo", 1).hint("rebalance", "observation_date", "city_id")
-    assert "REBALANCE_PARTITIONS_BY_COL" in df._jdf.queryExecution().executedPlan().toString()
+def test_hot_unit_is_split(spark, tmp_path):
+    """One unit bigger than a task should take becomes several files."""
+    rows = spark.range(0, 200_000, numPartitions=8).select(
+        F.rand(1).alias("v"),
+        F.lit("b").alias("_batch_id"),
+        F.lit("h").alias("_source_payload_hash"),
+        F.lit(date(2026, 8, 20)).alias("observation_date"),
+        F.when(F.col("id") % 100 == 0, "small").otherwise("hot").alias("city_id"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "262144")
+    try:
+        land(rows, str(tmp_path / "land"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {c: len(list((tmp_path / "land").glob(f"*/city_id={c}/*.parquet"))) for c in ("hot", "small")}
+    assert files["hot"] > 3 and files["small"] == 1
+    assert read_landed(spark, str(tmp_path / "land"), LANDED).count() == 200_000
 
 
 # Quarantine
