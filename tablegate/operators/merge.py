@@ -7,12 +7,13 @@ not atomic across them, but a merge that was cut off can simply be run again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.operators.checks import check_unique_combination
 from tablegate.operators.dedupe import dedupe_latest
 from tablegate.operators.joins import semi_join
 from tablegate.session import materialize, read_if_exists, staged
@@ -96,13 +97,13 @@ def upsert(
     """Merge ``source`` into the table at ``path``; returns the counts.
 
     ``partition`` must be a function of the key (a day of a key timestamp), so a
-    row never changes partition. Duplicates of a key in the source are reduced
-    to the latest by ``latest_by`` first. The first pass reads keys and guard of
+    row never changes partition. If a key occurs more than once in the source (its
+    keys are counted, which moves keys only), the latest by ``latest_by`` is kept. The first pass reads keys and guard of
     the touched partitions and decides; when nothing changed there is no second
     pass and nothing is written. ``source`` should be cheap to read twice, such
     as a landed table.
     """
-    if latest_by is not None:
+    if latest_by is not None and not check_unique_combination(source, keys).isEmpty():
         with staged(dedupe_latest(source, keys, latest_by), "merge-source") as latest:
             return upsert(
                 spark, path, latest, keys, partition, guard, count_by=count_by, schema=schema
@@ -112,36 +113,38 @@ def upsert(
     target = read_if_exists(spark, path, schema)
     if target is None:
         target = spark.createDataFrame([], schema or source.schema)
-    touched = materialize(source.select(partition).distinct())
-    target = _partitions(target, touched, partition)
+    touched = _partitions(source.select(partition).distinct(), partition)
+    if touched is None:
+        return merge_counts(merge_rows(target.limit(0), source, keys, guard), group)
+    target = touched(target)
 
     counts = materialize(merge_counts(merge_rows(target, source, keys, guard), group))
     changed = counts.filter("rows_inserted + rows_updated > 0").select(partition).distinct()
-    if not changed.isEmpty():
-        merged = merge_rows(
-            _partitions(target, changed, partition),
-            _partitions(source, changed, partition),
-            keys,
-            guard,
-        )
+    affected = _partitions(changed, partition)
+    if affected is not None:
+        merged = merge_rows(affected(target), affected(source), keys, guard)
         write_partitions(merged.drop("_action"), path, [partition], sort_by=keys)
     return counts
 
 
-def _partitions(df: DataFrame, values: DataFrame, partition: str) -> DataFrame:
-    """The rows of some partitions, listed as literals so that the scan is pruned.
+def _partitions(
+    values: DataFrame, partition: str
+) -> Callable[[DataFrame], DataFrame] | None:
+    """A filter for some partitions, listed as literals so that the scan is pruned.
 
-    Too many to list are pruned by their range and then matched by a join.
+    Too many to list are pruned by their range and then matched by a join. None
+    stands for no partition at all.
     """
     listed = [row[0] for row in values.limit(_LISTED_PARTITIONS + 1).collect()]
     if not listed:
-        return df.limit(0)
+        return None
     value = F.col(partition)
     if len(listed) <= _LISTED_PARTITIONS:
         named = value.isin([v for v in listed if v is not None])
-        return df.filter(named | value.isNull() if None in listed else named)
+        return lambda df: df.filter(named | value.isNull() if None in listed else named)
     low, high = values.agg(F.min(partition), F.max(partition)).first()
-    return semi_join(df.filter(value.between(low, high) | value.isNull()), values, [partition])
+    ranged = value.between(low, high) | value.isNull()
+    return lambda df: semi_join(df.filter(ranged), values, [partition])
 
 
 def incremental_merge(

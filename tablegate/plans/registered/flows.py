@@ -43,6 +43,13 @@ RATIO = 0.05
 CUT = "2024-01-20 12:00:00"
 
 
+def _delivered(events, store, name):
+    """The producer's payloads as a stored table, which is what a run reads."""
+    path = f"{store.root}/payloads/{name.replace(' ', 'T').replace(':', '-')}"
+    weather_payloads(events).write.parquet(path)
+    return events.sparkSession.read.parquet(path)
+
+
 def _run(spark, folder, store, until=None):
     events = table(spark, folder, "events")
     catalogue = event_types_as_cities(events)
@@ -50,7 +57,7 @@ def _run(spark, folder, store, until=None):
         events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
     return ingest_units(
         spark,
-        weather_payloads(events),
+        _delivered(events, store, until or "all"),
         catalogue,
         WEATHER,
         store,
@@ -80,12 +87,13 @@ def second_run(spark, folder):
 def ranged(spark, folder):
     """A range whose end is cut by the source lag."""
     events = table(spark, folder, "events")
+    store = Store(scratch_path(spark, "store"))
     return ingest_range(
         spark,
-        weather_payloads(events),
+        _delivered(events, store, "range"),
         event_types_as_cities(events),
         WEATHER,
-        Store(scratch_path(spark, "store")),
+        store,
         "range",
         date(2024, 1, 5),
         date(2024, 1, 25),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.functions import batch_id, hour_start, payload_hash
+from tablegate.functions import batch_id, hour_start
 from tablegate.operators.dedupe import dedupe_latest
 
 
@@ -62,7 +62,7 @@ def observations(events: DataFrame, entity: str) -> DataFrame:
         k.alias("weather_code"),
         F.col("ts").alias("_ingested_at_utc"),
         batch_id(city, F.to_date("ts")).alias("_batch_id"),
-        payload_hash("props").alias("_source_payload_hash"),
+        F.sha2("props", 256).alias("_source_payload_hash"),
         F.lit(1).alias("_contract_version"),
     )
 

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tablegate.functions import band
+from tablegate.operators.joins import small
 from tablegate.operators.merge import incremental_merge
 from tablegate.plans.marts import (
     DAILY_GRAIN,
@@ -44,7 +45,7 @@ def fact(spark, folder):
 
 def fact_by_type(spark, folder):
     events = table(spark, folder, "events")
-    cities = stage_cities(event_types_as_cities(events))
+    cities = small(stage_cities(event_types_as_cities(events)))
     return fct_weather_hourly(stage_observations(raw(spark, folder, "event_type")), cities)
 
 
