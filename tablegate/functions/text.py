@@ -12,24 +12,20 @@ def number_text(value: Column) -> Column:
     Spark itself turns to an exponent at 1e7 and below 1e-3; those two bands go
     through a decimal, which holds every digit a double can have there.
     """
-    size = F.abs(value)
-
-    def plain(scale: int) -> Column:
-        digits = F.rtrim(value.try_cast(f"decimal(38,{scale})").cast("string"), F.lit("0"))
-        return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-
+    size, text = F.abs(value), value.cast("string")
+    decimal = F.when(size >= 1, value.try_cast("decimal(38,10)").cast("string")).otherwise(
+        value.try_cast("decimal(38,24)").cast("string")
+    )
+    plain = F.regexp_replace(decimal, r"(\.\d*[1-9]|\.0)0*$", "$1")
     # 1.0E20 -> 1e+20, 1.5E-7 -> 1.5e-07
-    exponent = F.regexp_replace(value.cast("string"), r"\.0E", "E")
-    exponent = F.regexp_replace(exponent, r"E(\d)", "e+$1")
-    exponent = F.regexp_replace(exponent, "E-", "e-")
-    exponent = F.regexp_replace(exponent, r"e([+-])(\d)$", "e$10$2")
-
+    exponent = F.format_string(
+        "%se%+03d",
+        F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", ""),
+        F.substring_index(text, "E", -1).try_cast("int"),
+    )
     return (
-        F.when(F.isnan(value), "nan")
-        .when(value == float("inf"), "inf")
-        .when(value == float("-inf"), "-inf")
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), value.cast("string"))
-        .when((size >= 1e7) & (size < 1e16), plain(10))
-        .when((size >= 1e-4) & (size < 1e-3), plain(24))
-        .otherwise(exponent)
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .when(size < float("inf"), exponent)
+        .otherwise(F.lower(F.replace(text, F.lit("Infinity"), F.lit("inf"))))
     )

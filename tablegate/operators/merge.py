@@ -115,7 +115,7 @@ def upsert(
         target = spark.createDataFrame([], schema or source.schema)
     touched = _partitions(source.select(partition).distinct(), partition)
     if touched is None:
-        return merge_counts(merge_rows(target.limit(0), source, keys, guard), group)
+        return materialize(merge_counts(merge_rows(target.limit(0), source, keys, guard), group))
     target = touched(target)
 
     counts = materialize(merge_counts(merge_rows(target, source, keys, guard), group))

@@ -173,13 +173,20 @@ class FieldSpec:
         nan = F.isnan(number.cast("double"))
         if self.min is not None or self.max is not None:
             rules.append(self._rule(nan, "nan is not a number in the contract range"))
-        for bound, outside, word in (
-            (self.min, lambda: number < self.min, "below contract minimum"),
-            (self.max, lambda: number > self.max, "above contract maximum"),
-        ):
-            if bound is not None:
-                message = F.concat(F.lit(f"{self.name}: "), text, F.lit(f" {word} {bound}"))
-                rules.append(Rule(self.name, F.coalesce(outside() & ~nan, F.lit(False)), message))
+        low = None if self.min is None else F.coalesce((number < self.min) & ~nan, F.lit(False))
+        high = None if self.max is None else F.coalesce((number > self.max) & ~nan, F.lit(False))
+        below, above = f" below contract minimum {self.min}", f" above contract maximum {self.max}"
+
+        def rule(failed: Column, words: Column) -> Rule:
+            return Rule(self.name, failed, F.concat(F.lit(f"{self.name}: "), text, words))
+
+        if low is not None and high is not None and self.min <= self.max:
+            # One rule for both: the text of the value is costly to generate code for.
+            return [*rules, rule(low | high, F.when(low, below).otherwise(above))]
+        if low is not None:
+            rules.append(rule(low, F.lit(below)))
+        if high is not None:
+            rules.append(rule(high, F.lit(above)))
         return rules
 
     def _rule(self, failed: Column, message: str) -> Rule:
