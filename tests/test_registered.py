@@ -12,10 +12,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from tablegate.plans.registered import registry
 
 FOLDER = os.environ.get("TABLEGATE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = {name: query.run for name, query in registry().items()}
+SQL = {name: sql for name, sql in driver.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
