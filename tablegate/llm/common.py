@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate.session import BROADCAST_LIMIT_BYTES, measured
@@ -22,6 +22,14 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
 
 
+def compiled_pieces(spark: SparkSession) -> None:
+    """Many array expressions in one stage make a method that the JVM never compiles.
+
+    Beyond 8,000 bytes of code Spark is told to make a method of each expression instead.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def small_or_shuffled(small: DataFrame) -> DataFrame:
     """Marks a materialised frame for broadcast when its measured size allows it.
 

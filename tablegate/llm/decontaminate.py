@@ -12,12 +12,13 @@ items or documents the result is empty.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.llm.common import content_hash, packed, small_or_shuffled, text_of
+from tablegate.operators.once import computed_once
 from tablegate.session import materialize
 
 # Seven of ten tokens each; no two masks ignore the same three places.
@@ -33,28 +34,24 @@ def tokens_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(rows: DataFrame, masks: Sequence[str]) -> DataFrame:
+def _seeds(rows: DataFrame, masks: Mapping[int, str]) -> DataFrame:
     """The rows with (at, seed): a row for each mask and place of the ``tokens``.
 
-    Places are exploded first: the hashes are then plain expressions over one row that
-    stay inside generated code.
+    Tokens are hashed once; then places are exploded, and the seeds are plain expressions
+    over one row, few enough for one compiled method.
     """
     others = [c for c in rows.columns if c != "tokens"]
-    span = min(map(len, masks))
-    at = F.sequence(F.lit(0), F.size("tokens") - span)
-    placed = rows.filter(F.size("tokens") >= span).select("*", F.explode(at).alias("at"))
-    hashes = [
-        F.when(
-            F.col("at") + len(mask) <= F.size("tokens"),
-            F.xxhash64(
-                F.lit(mask),
-                *[F.get("tokens", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"],
-            ),
-        )
-        for mask in masks
-    ]
-    seeds = placed.select(*others, "at", F.explode(F.array(*hashes)).alias("seed"))
-    return seeds.filter(F.col("seed").isNotNull())
+    span = min(map(len, masks.values()))
+    hashed = rows.select(*others, F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
+    n = F.size("hashes")
+    at = F.when(n >= span, F.sequence(F.lit(0), n - span))
+    placed = hashed.select(*others, "hashes", F.explode(at).alias("at"))
+    seeds = []
+    for number, mask in masks.items():
+        taken = [F.get("hashes", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"]
+        seed = F.xxhash64(F.lit(number), *taken)
+        seeds.append(seed if len(mask) == span else F.when(F.col("at") + len(mask) <= n, seed))
+    return placed.select(*others, "at", F.explode(F.array(*seeds)).alias("seed"))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -79,18 +76,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
         F.size("item_tokens")).distinct().collect()]
     item_rows = items.select("item_key", F.col("item_tokens").alias("tokens"))
     long_items = item_rows.filter(F.size("tokens") >= span)
-    seeds = _seeds(long_items, masks)
-    for length in short:
+    all_masks = [*masks, *["1" * length for length in short]]
+    seeds = _seeds(long_items, dict(enumerate(masks)))
+    for number, length in enumerate(short, len(masks)):
         exact = item_rows.filter(F.size("tokens") == length)
-        seeds = seeds.union(_seeds(exact, ["1" * length]))
+        seeds = seeds.union(_seeds(exact, {number: "1" * length}))
     seeds = small_or_shuffled(
         materialize(seeds.select("item_key", F.col("at").alias("item_at"), "seed"))
     )
-    all_masks = [*masks, *["1" * length for length in short]]
 
     text = text_of()
     rows = docs.select("doc_id", content_hash(text).alias("content"), tokens_of(text).alias("tokens"))
-    hits = _seeds(rows, all_masks).join(seeds, "seed")
+    hits = _seeds(rows, dict(enumerate(all_masks))).join(seeds, "seed")
     shifts = materialize(
         hits.select(
             "doc_id", "content", "item_key", (F.col("at") - F.col("item_at")).alias("shift")
@@ -105,9 +102,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
         (F.col("text_hash") == F.col("content")) & F.col("doc_id").eqNullSafe(F.col("hit_id")),
     ).dropDuplicates(["doc_id", "content", "item_key", "shift"])
     pairs = candidates.join(small_or_shuffled(items), "item_key").select(
-        "doc_id", "content", "item_id", "item_key", "shift", "item_tokens",
-        tokens_of(F.col("doc_text")).alias("tokens"),
+        "doc_id", "content", "item_id", "item_key", "shift", "item_tokens", "doc_text"
     )
+    # Arrays that a lambda refers to are computed once per row, not once per element.
+    pairs = computed_once(pairs, {"tokens": tokens_of(F.col("doc_text"))}).drop("doc_text")
     equal = F.transform(
         "item_tokens",
         lambda token, i: F.when(
@@ -123,7 +121,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
         )
     )
     return (
-        pairs.withColumn("equal", equal)
+        computed_once(pairs, {"equal": equal})
         .withColumn("best_window", best)
         .filter(F.col("best_window") * 100 >= window * MIN_PERCENT)
         .groupBy("doc_id", "content", "item_id", "item_key")

@@ -11,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.common import packed, small_or_shuffled, text_of, with_text, words_of
+from tablegate.llm.common import (
+    compiled_pieces,
+    packed,
+    small_or_shuffled,
+    text_of,
+    with_text,
+    words_of,
+)
 from tablegate.session import materialize
 
 SYMBOLS = "[#*$%&|<>]"
@@ -153,6 +160,7 @@ def base_counts(rows: DataFrame) -> DataFrame:
 
 def quality(docs: DataFrame, host: str = "source") -> DataFrame:
     """(row, clean_text, ...): base counts, ``base_failed`` and the verdict ``kept``."""
+    compiled_pieces(docs.sparkSession)
     n, left = F.col("n_words"), F.col("words_left")
     return (
         base_counts(without_frequent_lines(docs, host))

@@ -67,3 +67,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
 }
+SQL: dict[str, str] = {}
