@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import decontaminate, lines, mixing, quality, simhash
+from tablegate.llm import (
+    decontaminate,
+    language,
+    lines,
+    links,
+    mixing,
+    quality,
+    simhash,
+    substrings,
+    tokens,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +58,21 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every span that repeats an earlier line, with its offsets."""
+    return substrings.repeated_spans(_table(spark, folder, "documents"))
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's host, path, rule and verdict."""
+    return links.judged(_table(spark, folder, "pages"))
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's predicted language."""
+    return language.predict(_table(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's sampling probability and whether it is drawn."""
     return mixing.calibrated(_table(spark, folder, "documents")).select(
@@ -60,11 +85,20 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's number of tokens."""
+    return tokens.token_counts(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op6_url_filters": op6_url_filters,
+    "op7_language": op7_language,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {}
