@@ -13,6 +13,7 @@ from tablegate.llm import (
     lines,
     links,
     mixing,
+    ngram,
     quality,
     simhash,
     substrings,
@@ -63,6 +64,11 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeated_spans(_table(spark, folder, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's probability under the bigram model."""
+    return ngram.trained_and_scored(_table(spark, folder, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return links.judged(_table(spark, folder, "pages"))
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_quality": op3_quality,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_url_filters": op6_url_filters,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
