@@ -207,7 +207,7 @@ class Sketches:
     """The sketches of the rows of a run, by width."""
 
     def __init__(self, columns: dict[str, np.ndarray]):
-        self.narrow = columns["sketch"]
+        self.narrow = columns["sketch"].view(np.uint64)
         wide = columns["wide"]
         self.width = np.array([1 if w is None else len(w) // 8 for w in wide], np.int64)
         self.place = np.zeros(len(wide), np.int64)
@@ -402,7 +402,8 @@ def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     removed = small_or_shuffled(removed_lines(docs, threshold))
     doc = F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_DOC))
     joined = packed(docs).join(removed, doc == F.col("doc"), "left")
-    clean = strip_lines(F.col("row.text"), F.col("numbers"), F.col("digests"))
+    strip = F.pandas_udf(strip_lines, "text string, removed array<int>")
+    clean = strip(F.col("row.text"), F.col("numbers"), F.col("digests"))
     return joined.select("row", clean.alias("clean")).select(
         "row",
         F.col("clean.text").alias("clean_text"),
@@ -410,7 +411,6 @@ def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     )
 
 
-@F.pandas_udf("text string, removed array<int>")
 def strip_lines(texts: pd.Series, numbers: pd.Series, digest_lists: pd.Series) -> pd.DataFrame:
     """Each text without the lines whose number and digest are given, and their numbers."""
     key_of = WordKeys().__getitem__

@@ -141,7 +141,7 @@ def links(
             at = packed >> (8 * i) & 255
             close &= np.abs(at[x] - at[y]) <= max_bits
         survivors = np.flatnonzero(close)
-        prints = columns["fingerprint"]
+        prints = columns["fingerprint"].view(np.uint64)
         apart = np.bitwise_count(prints[x[survivors]] ^ prints[y[survivors]])
         close[survivors] = apart <= max_bits
         return close
