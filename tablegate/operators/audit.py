@@ -33,16 +33,13 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 LOADED, SKIPPED, FAILED = "loaded", "skipped_unchanged", "failed"
-ERROR_LENGTH = 2000
 
 
 def audit_append(rows: DataFrame, path: str) -> None:
-    """Append audit rows; missing columns are null, long errors are cut."""
+    """Append audit rows; missing columns are null."""
     columns = []
     for field in AUDIT_SCHEMA:
         value = F.col(field.name) if field.name in rows.columns else F.lit(None)
-        if field.name == "error_message":
-            value = F.substring(value.cast("string"), 1, ERROR_LENGTH)
         columns.append(value.cast(field.dataType).alias(field.name))
     rows.select(*columns).write.mode("append").parquet(path)
 
@@ -104,8 +101,13 @@ def audit_by_day(audit: DataFrame, run_id: str) -> DataFrame:
 
 
 def run_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Totals over per-unit results; a unit counts as loaded when it changed rows."""
+    """Totals over per-unit results; a unit counts as loaded when it changed rows.
+
+    A unit whose status is failed counts as failed, and every other one as skipped.
+    """
+    failed = F.coalesce(F.col("status") == FAILED, F.lit(False))
     changed = F.coalesce((F.col("rows_inserted") > 0) | (F.col("rows_updated") > 0), F.lit(False))
+    changed = changed & ~failed
 
     def total(name: str):
         return F.coalesce(F.sum(name), F.lit(0)).alias(name)
@@ -113,7 +115,8 @@ def run_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return results.groupBy(*by).agg(
         F.count(F.lit(1)).alias("partitions_attempted"),
         F.count_if(changed).alias("partitions_loaded"),
-        F.count_if(~changed).alias("partitions_skipped"),
+        F.count_if(~changed & ~failed).alias("partitions_skipped"),
+        F.count_if(failed).alias("partitions_failed"),
         total("rows_inserted"),
         total("rows_updated"),
         total("rows_rejected"),

@@ -98,12 +98,16 @@ def upsert(
 
     ``partition`` must be a function of the key (a day of a key timestamp), so a
     row never changes partition. If a key occurs more than once in the source (its
-    keys are counted, which moves keys only), the latest by ``latest_by`` is kept. The first pass reads keys and guard of
+    keys are counted, which moves keys only), the latest by ``latest_by`` is kept, and
+    without an order the merge is refused. The first pass reads keys and guard of
     the touched partitions and decides; when nothing changed there is no second
     pass and nothing is written. ``source`` should be cheap to read twice, such
     as a landed table.
     """
-    if latest_by is not None and not check_unique_combination(source, keys).isEmpty():
+    repeated = not check_unique_combination(source, keys).isEmpty()
+    if repeated and latest_by is None:
+        raise ValueError(f"the source of a merge repeats keys ({', '.join(keys)}): name an order")
+    if repeated:
         with staged(dedupe_latest(source, keys, latest_by), "merge-source") as latest:
             return upsert(
                 spark, path, latest, keys, partition, guard, count_by=count_by, schema=schema

@@ -128,9 +128,16 @@ def ingest_units(
     preflight(contract, catalogue)
     started = started_at or datetime.now(tz=UTC)
     places = catalogue.select(
-        "city_id", F.col("latitude").alias("_latitude"), F.col("longitude").alias("_longitude")
+        "city_id",
+        F.col("latitude").alias("_latitude"),
+        F.col("longitude").alias("_longitude"),
+        F.lit(True).alias("_known"),
     )
-    parsed = _parsed(payloads.join(small(places), "city_id"), contract, series)
+    # A payload of a city that the catalogue does not have is a failed unit, not a lost one.
+    parsed = _parsed(payloads.join(small(places), "city_id", "left"), contract, series)
+    parsed = parsed.withColumn(
+        "_problem", F.when(F.col("_known"), F.col("_problem")).otherwise(F.lit("unknown city"))
+    ).drop("_known")
     previous = None
     if not (full_refresh or land_only):
         previous = read_if_exists(spark, store.audit, AUDIT_SCHEMA)
@@ -314,23 +321,25 @@ def ingest_range(
     end: date,
     as_of: date,
     strict: bool = False,
+    max_days: int | None = None,
     **options,
 ) -> DataFrame:
     """Ingest every (city, day) of an inclusive range and return the run summary.
 
     The end is cut to the newest day the producer can have; when nothing is left
     the summary is all zero and no work is done. ``strict`` raises when a unit
-    failed, after all others went through.
+    failed, after all others went through. ``max_days`` refuses a longer range.
     """
     preflight(contract, catalogue)
     window = clamp_range(start, end, as_of, contract.source_lag_days)
     if window is None:
         nothing = T.StructType(
             [T.StructField(f"rows_{k}", T.LongType()) for k in ("inserted", "updated", "rejected")]
+            + [T.StructField("status", T.StringType())]
         )
         return run_summary(spark.createDataFrame([], nothing))
     first, last = window
-    plan = work_units(catalogue, first, last)
+    plan = work_units(catalogue, first, last, max_days=max_days)
     results = ingest_units(
         spark,
         payloads.filter(F.col("observation_date").between(first, last)),

@@ -113,7 +113,8 @@ _ATTEMPTS_SQL = """
 _SUMMARY = """
     count(*) AS partitions_attempted,
     count(*) FILTER (WHERE status = 'loaded') AS partitions_loaded,
-    count(*) FILTER (WHERE status <> 'loaded') AS partitions_skipped,
+    count(*) FILTER (WHERE status NOT IN ('loaded', 'failed')) AS partitions_skipped,
+    count(*) FILTER (WHERE status = 'failed') AS partitions_failed,
     CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
     CAST(sum(rows_updated) AS BIGINT) AS rows_updated,
     CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected

@@ -179,11 +179,13 @@ QUERIES = {
         plan AS (SELECT DISTINCT event_type, CAST(d AS DATE) AS day
                  FROM events, generate_series(DATE '2024-01-05', DATE '2024-01-20', INTERVAL 1 DAY) g(d)),
         units AS (SELECT p.*, coalesce(u.total, 0) AS total, coalesce(u.bad, 0) AS bad,
+                         coalesce(u.passed, false) AS passed,
                          coalesce(u.passed, false) AND u.total > u.bad AS loaded
                   FROM plan p LEFT JOIN b_units u ON p.event_type = u.event_type AND p.day = u.day)
         SELECT count(*) AS partitions_attempted,
                count(*) FILTER (WHERE loaded) AS partitions_loaded,
-               count(*) FILTER (WHERE NOT loaded) AS partitions_skipped,
+               count(*) FILTER (WHERE NOT loaded AND passed) AS partitions_skipped,
+               count(*) FILTER (WHERE NOT passed) AS partitions_failed,
                CAST(coalesce(sum(total - bad) FILTER (WHERE loaded), 0) AS BIGINT) AS rows_inserted,
                CAST(0 AS BIGINT) AS rows_updated, CAST(sum(bad) AS BIGINT) AS rows_rejected
         FROM units

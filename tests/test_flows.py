@@ -117,6 +117,15 @@ def test_failing_units_do_not_stop_others(site):
     assert read_quarantine(site.spark, site.store.quarantine, UNIT_SCHEMA).count() == 0
 
 
+def test_unknown_city_is_a_failed_unit(site):
+    units = dict(list(weather().items())[:1])
+    (known, document), = units.items()
+    got = site.ingest({**units, ("atlantis", known[1]): document})
+    assert got[known].status == "loaded"
+    lost = got["atlantis", known[1]]
+    assert (lost.status, lost.error_message, lost.rows_inserted) == ("failed", "unknown city", 0)
+
+
 def test_threshold_lets_a_unit_through(site):
     units = weather(cities=("oslo",), days=(20,))
     units[("oslo", day(20))] = make_payload(relative_humidity_2m=[250.0] + [50.0] * 23)

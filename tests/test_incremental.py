@@ -45,8 +45,9 @@ def test_work_units(catalogue):
     with pytest.raises(ValueError, match="before start"):
         work_units(catalogue, D, date(2026, 8, 19))
     with pytest.raises(ValueError, match="refusing to plan 401 days"):
-        work_units(catalogue, date(2025, 1, 1), date(2026, 2, 5))
-    assert work_units(catalogue, date(2025, 1, 1), date(2026, 2, 4)).count() == 1200
+        work_units(catalogue, date(2025, 1, 1), date(2026, 2, 5), max_days=400)
+    assert work_units(catalogue, date(2025, 1, 1), date(2026, 2, 4), max_days=400).count() == 1200
+    assert work_units(catalogue, date(2024, 1, 1), date(2025, 12, 31)).count() == 2193
 
 
 def test_clamping(spark):
@@ -130,14 +131,15 @@ def test_audit_append_and_reports(spark, tmp_path):
     )
     audit = spark.read.schema(AUDIT_SCHEMA).parquet(path)
     assert audit.count() == 3
-    assert audit.agg(F.max(F.length("error_message"))).first()[0] == 2000
+    assert audit.agg(F.max(F.length("error_message"))).first()[0] == 3000
     assert [tuple(r) for r in audit_by_day(audit, "r1").collect()] == [(D, 2, 48, 3)]
     assert [r.run_id for r in recent_attempts(audit, datetime(2026, 8, 22, 21)).collect()] == ["r2"]
     summary = run_summary(audit).first()
-    assert (summary.partitions_attempted, summary.partitions_loaded, summary.partitions_skipped) == (3, 2, 1)
+    assert (summary.partitions_attempted, summary.partitions_loaded, summary.partitions_skipped) == (3, 2, 0)
+    assert summary.partitions_failed == 1
     assert (summary.rows_inserted, summary.rows_updated, summary.rows_rejected) == (48, 3, 0)
     assert run_summary(audit, ["run_id"]).count() == 2
-    assert tuple(run_summary(audit.limit(0)).first()) == (0, 0, 0, 0, 0, 0)
+    assert tuple(run_summary(audit.limit(0)).first()) == (0, 0, 0, 0, 0, 0, 0)
 
 
 def test_costs(spark):

@@ -181,3 +181,9 @@ def test_merge_matches_brute_force(spark, seed):
             expected[k] = row
     merged = merge_rows(frame(spark, *old.values()), frame(spark, *new.values()), ["k"], "h")
     assert {r.k: tuple(r)[:4] for r in merged.collect()} == expected
+
+
+def test_repeated_source_keys_need_an_order(spark, tmp_path):
+    rows = spark.createDataFrame([(1, D1, "a"), (1, D1, "b")], "k int, day date, v string")
+    with pytest.raises(ValueError, match="repeats keys"):
+        incremental_merge(spark, str(tmp_path / "mart"), rows, ["k"], "day")
