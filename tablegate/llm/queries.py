@@ -108,4 +108,93 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
 }
-SQL: dict[str, str] = {}
+
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+        lines AS (
+            SELECT r, doc_id, i - 1 AS n, split_text[i] AS line,
+                   list_distinct(regexp_extract_all(
+                       translate(split_text[i], {_UPPER}, {_LOWER}), {_WORD})) AS w
+            FROM (SELECT r, doc_id, string_split(text, chr(10)) AS split_text FROM docs),
+                 LATERAL (SELECT unnest(range(1, len(split_text) + 1)) AS i)),
+        sets AS (SELECT list_sort(w) AS w, min((coalesce(doc_id, -9223372036854775808), n)) AS first
+                 FROM lines WHERE len(w) > 0 GROUP BY ALL),
+        named AS (SELECT row_number() OVER () AS s, * FROM sets),
+        words AS (SELECT s, unnest(w) AS word FROM named),
+        rare AS (SELECT word, count(*) AS f FROM words GROUP BY word),
+        ranked AS (SELECT s, word, row_number() OVER (PARTITION BY s ORDER BY f, word) AS p
+                   FROM words JOIN rare USING (word)),
+        prefix AS (SELECT s, word FROM ranked JOIN named USING (s)
+                   WHERE p <= len(w) - (4 * len(w) + 4) // 5 + 1),
+        pairs AS (SELECT DISTINCT a.s AS x, b.s AS y FROM prefix a JOIN prefix b USING (word) WHERE a.s <> b.s),
+        close_sets AS (
+            SELECT DISTINCT x FROM pairs JOIN named a ON a.s = x JOIN named b ON b.s = y
+            WHERE b.first < a.first AND 5 * len(list_intersect(a.w, b.w))
+                  >= 4 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w)))),
+        judged AS (
+            SELECT r, n, line, coalesce(x IS NOT NULL
+                   OR (coalesce(doc_id, -9223372036854775808), n) > first, false) AS gone
+            FROM lines l LEFT JOIN named d ON len(l.w) > 0 AND list_sort(l.w) = d.w
+            LEFT JOIN close_sets ON x = d.s)
+        SELECT any_value(doc_id) AS doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+               coalesce(string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) FILTER (WHERE gone), '') AS removed_lines,
+               coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone),
+                        CASE WHEN count(n) > 0 THEN '' END) AS text
+        FROM docs LEFT JOIN judged USING (r) GROUP BY r
+    """,
+    "op3_quality": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+        parts AS (SELECT *, regexp_extract_all(text, {_WORD}) AS w, string_split(text, chr(10)) AS lines FROM docs),
+        windows AS (SELECT r, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, i
+                    FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM parts WHERE len(w) >= 3)),
+        again AS (SELECT r, unnest(list(i)) AS i FROM windows GROUP BY r, a, b, c HAVING count(*) > 1),
+        covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM again) GROUP BY r),
+        every AS (SELECT r, doc_id, source, text, unnest(lines) AS line FROM parts),
+        normal AS (SELECT r, doc_id, source, text, line,
+                          trim(lower(line), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS norm FROM every),
+        hosts AS (SELECT source, count(DISTINCT (doc_id, text)) AS m FROM docs GROUP BY source),
+        frequent AS (SELECT n.source, norm FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
+                     WHERE norm <> '' GROUP BY n.source, norm, m
+                     HAVING count(DISTINCT (doc_id, text)) > 20
+                        AND count(DISTINCT (doc_id, text)) * 100 > m * 10),
+        removed AS (SELECT r, count(*) AS n, sum(len(regexp_extract_all(line, {_WORD}))) AS words
+                    FROM normal n JOIN frequent f ON n.source IS NOT DISTINCT FROM f.source AND n.norm = f.norm
+                    GROUP BY r),
+        counted AS (
+            SELECT p.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+                   len(list_filter(lines, lambda x: regexp_matches(x, {_WORD})))
+                   - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, {_WORD})))) AS n_dup_lines,
+                   coalesce(c.n, 0) AS n_repeat_words, coalesce(d.n, 0) AS lines_removed,
+                   len(w) - coalesce(d.words, 0) AS words_left
+            FROM parts p LEFT JOIN covered c USING (r) LEFT JOIN removed d USING (r))
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+               CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+               CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+               AND words_left * 100 >= n_words * 50 AS kept,
+               CAST(lines_removed AS BIGINT) AS lines_removed
+        FROM counted
+    """,
+    "op4_substring_dedup": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS lines FROM documents),
+        every AS (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs),
+        units AS (
+            SELECT doc_id, i - 1 AS unit_no, length(lines[i]) AS size,
+                   sum(length(lines[i]) + 1) OVER (PARTITION BY r ORDER BY i) - length(lines[i]) - 1 AS begin_at,
+                   regexp_extract_all(translate(lines[i], {_UPPER}, {_LOWER}), {_WORD}) AS w
+            FROM every),
+        ranked AS (
+            SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(unit_no) OVER o AS first_unit_no
+            FROM units WHERE len(w) >= 5
+            WINDOW o AS (PARTITION BY w ORDER BY doc_id NULLS FIRST, unit_no))
+        SELECT doc_id, unit_no, CAST(begin_at AS BIGINT) AS "begin", CAST(begin_at + size AS BIGINT) AS "end",
+               CAST(len(w) AS BIGINT) AS n_words, first_doc_id, first_unit_no
+        FROM ranked WHERE doc_id IS DISTINCT FROM first_doc_id OR unit_no <> first_unit_no
+    """,
+}
