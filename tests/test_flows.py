@@ -186,7 +186,7 @@ def test_range_clamps_and_sums(site):
     assert (summary.partitions_attempted, summary.partitions_loaded) == (6, 6)
     assert summary.rows_inserted == 144
     nothing = ingest_range(*args, "r2", day(25), day(25), as_of=day(23)).first()
-    assert tuple(nothing) == (0,) * 6
+    assert tuple(nothing) == (0,) * 7
     with pytest.raises(DataQualityError, match="lima 2026-08-23: producer returned no rows"):
         ingest_range(*args, "r3", day(20), day(23), as_of=AS_OF, strict=True)
 
