@@ -19,15 +19,33 @@ def band(value: Column | str, steps: Sequence[tuple[float, str]], otherwise: str
 
 
 # Doubles added in another order differ in the last digits, and a rounding tie
-# then flips between runs. Fixed point makes a rebuilt aggregate identical.
-_EXACT = "decimal(18,6)"
+# then flips between runs. Values that fixed point holds, but for the noise of an earlier
+# subtraction, are added in it, so a rebuilt aggregate is identical; all others (very large
+# or small, more digits, NaN, infinity) are added as they are.
+_FIXED = "decimal(18,6)"
+_NOISE = 1e-12
 
 
-def exact_sum(value: Column | str, digits: int = 2) -> Column:
+def _parts(value: Column | str) -> tuple[Column, Column]:
+    """The value in fixed point where that changes nothing but noise, else as a double."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.round(F.sum(value.cast(_EXACT)), digits).cast("double")
+    plain, fixed = value.cast("double"), value.try_cast(_FIXED)
+    held = F.abs(fixed.cast("double") - plain) <= F.abs(plain) * _NOISE
+    held = F.coalesce(held, F.lit(False))
+    return F.when(held, fixed), F.when(~held, plain)
+
+
+def exact_sum(value: Column | str, digits: int = 2) -> Column:
+    fixed, other = _parts(value)
+    total = F.coalesce(F.sum(fixed).cast("double"), F.lit(0.0)) + F.sum(other)
+    return F.when(F.count(other) == 0, F.round(F.sum(fixed), digits).cast("double")).otherwise(
+        F.round(total, digits)
+    )
 
 
 def exact_avg(value: Column | str, digits: int = 2) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return F.round(F.avg(value.cast(_EXACT)), digits).cast("double")
+    fixed, other = _parts(value)
+    total = F.coalesce(F.sum(fixed).cast("double"), F.lit(0.0)) + F.sum(other)
+    return F.when(F.count(other) == 0, F.round(F.avg(fixed), digits).cast("double")).otherwise(
+        F.round(total / (F.count(fixed) + F.count(other)), digits)
+    )

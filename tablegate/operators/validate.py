@@ -105,8 +105,8 @@ def with_verdict(counts: DataFrame, max_reject_ratio: float = MAX_REJECT_RATIO)
 def failure_message(contract: Contract, unit: Sequence[str], max_reject_ratio: float) -> Column:
     """Text for a refused unit, over the columns of :func:`gate_report`."""
     return F.format_string(
-        f"%s: %d/%d rows (%.1f%%) violate contract {contract.name} v{contract.version}, "
-        f"above the {max_reject_ratio * 100:.1f}%% threshold",
+        f"%s: %d of %d rows rejected (%.1f%%, limit {max_reject_ratio * 100:.1f}%%) "
+        f"by {contract.name} v{contract.version}",
         F.concat_ws(" ", *[F.col(c).cast("string") for c in unit]),
         F.col("rejected_rows"),
         F.col("total_rows"),

@@ -96,10 +96,10 @@ def raw_schema(contract: Contract) -> T.StructType:
 
 
 def preflight(contract: Contract, catalogue: DataFrame) -> None:
-    """Fail before any work on what would make all of it pointless."""
+    """The contract's types must be known to Spark, and there must be a city."""
     contract.to_struct()
     if catalogue.isEmpty():
-        raise ValueError("catalogue is empty - nothing to ingest")
+        raise ValueError("no city in the catalogue")
 
 
 def ingest_units(

@@ -229,7 +229,7 @@ QUERIES = {
         ragged,
         f"""
         SELECT event_type, day,
-               event_type || ': series ''value'' has ' || count(*) || ' points but ''time'' has 24'
+               event_type || ': series ''value'' holds ' || count(*) || ' values for 24 times'
                    AS problem
         FROM ({READINGS_SQL.format(source="events")})
         GROUP BY event_type, day HAVING count(*) <> 24

@@ -32,8 +32,8 @@ def read_payloads(
 def classify_responses(df: DataFrame, status: str = "status", body: str = "body") -> DataFrame:
     """Add ``outcome`` (ok, transient, permanent) and ``problem`` per response.
 
-    No status means a timeout or transport failure. A 200 whose body is not
-    JSON is a proxy page far more often than an API change, hence transient.
+    A null status is a call that got no answer. A success without JSON may succeed
+    when asked again, so it is transient like rate limits and server errors.
     """
     code = F.col(status)
     problem = (
@@ -65,8 +65,8 @@ def with_series(
 
     ``series`` maps a target column to its source array. ``_problem`` tells why
     a unit cannot be flattened: malformed JSON, no rows, or a ragged series (the
-    first one in mapping order). Padding a short array would move values onto
-    the wrong hour, so such a unit is refused.
+    first one in mapping order). Series are matched to the times by position alone,
+    so one of another length cannot be placed.
     """
     parsed = computed_once(payloads, {"_document": F.try_parse_json(F.col(text))})
     document = F.col("_document")
@@ -87,7 +87,7 @@ def with_series(
             F.size(values) != points,
             F.concat(
                 named,
-                F.format_string("has %d points but 'time' has %d", F.size(values), points),
+                F.format_string("holds %d values for %d times", F.size(values), points),
             ),
         )
     return computed_once(parsed, {"_problem": problem})

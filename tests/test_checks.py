@@ -24,7 +24,7 @@ from tablegate.operators.checks import (
     run_checks,
 )
 
-DAY = date(2026, 8, 20)
+DAY = date(2025, 3, 20)
 
 
 def tuples(df):
@@ -61,7 +61,7 @@ def test_relationships(spark, rows):
 
 
 def test_freshness(spark):
-    now = datetime(2026, 8, 20, 12)
+    now = datetime(2025, 3, 20, 12)
     ages = {"a": 30, "b": 31, "c": 48, "d": 49}
     df = spark.createDataFrame(
         [(k, now - timedelta(hours=h)) for k, h in ages.items()] + [("e", None)],
@@ -104,7 +104,7 @@ def test_calendar_gaps(spark):
 
 
 def test_no_future(spark):
-    now = datetime(2026, 8, 20, 12)
+    now = datetime(2025, 3, 20, 12)
     df = spark.createDataFrame(
         [(now + timedelta(minutes=m),) for m in (0, 60, 61)], "t timestamp_ntz"
     )

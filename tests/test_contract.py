@@ -18,15 +18,15 @@ SCHEMA = (
     "wind_speed_10m_kmh double, weather_code int"
 )
 VALID = {
-    "city_id": "oslo",
-    "latitude": 59.91,
-    "longitude": 10.75,
-    "observed_at_utc": datetime(2026, 8, 20, 12),
-    "temperature_2m_c": 21.4,
-    "relative_humidity_2m_pct": 55.0,
-    "precipitation_mm": 0.0,
-    "wind_speed_10m_kmh": 9.0,
-    "weather_code": 3,
+    "city_id": "lima",
+    "latitude": -12.05,
+    "longitude": -77.04,
+    "observed_at_utc": datetime(2025, 3, 4, 17),
+    "temperature_2m_c": 26.75,
+    "relative_humidity_2m_pct": 81.5,
+    "precipitation_mm": 0.3,
+    "wind_speed_10m_kmh": 14.25,
+    "weather_code": 51,
 }
 
 
@@ -37,7 +37,7 @@ def check(spark, contract, **changes):
 
 
 def check_json(spark, contract, **changes):
-    row = VALID | {"observed_at_utc": "2026-08-20T12:00"} | changes
+    row = VALID | {"observed_at_utc": "2025-03-04T17:00"} | changes
     df = spark.createDataFrame([(json.dumps(row),)], "text string").select(
         F.parse_json("text").alias("doc")
     )
@@ -87,9 +87,9 @@ def test_null_required_and_optional(spark, contract):
 
 
 def test_out_of_range(spark, contract):
-    expected = ["relative_humidity_2m_pct: 140.0 above contract maximum 100.0"]
-    assert check(spark, contract, relative_humidity_2m_pct=140.0) == expected
-    assert check_json(spark, contract, relative_humidity_2m_pct=140.0) == expected
+    expected = ["relative_humidity_2m_pct: 100.5 above contract maximum 100.0"]
+    assert check(spark, contract, relative_humidity_2m_pct=100.5) == expected
+    assert check_json(spark, contract, relative_humidity_2m_pct=100.5) == expected
     assert check(spark, contract, latitude=-91.5, precipitation_mm=1e20) == [
         "latitude: -91.5 below contract minimum -90.0",
         "precipitation_mm: 1e+20 above contract maximum 500.0",
@@ -106,17 +106,17 @@ def test_nan_is_refused_once(spark, contract):
 
 
 def test_types_in_json(spark, contract):
-    assert check_json(spark, contract, temperature_2m_c="21.4") == [
+    assert check_json(spark, contract, temperature_2m_c="26.75") == [
         "temperature_2m_c: expected float, got str"
     ]
     assert check_json(spark, contract, temperature_2m_c=True) == [
         "temperature_2m_c: expected float, got boolean"
     ]
-    assert check_json(spark, contract, temperature_2m_c=21) == []
-    assert check_json(spark, contract, weather_code=3.5) == [
+    assert check_json(spark, contract, temperature_2m_c=26) == []
+    assert check_json(spark, contract, weather_code=51.5) == [
         "weather_code: expected integer, got float"
     ]
-    assert check_json(spark, contract, weather_code=[3]) == [
+    assert check_json(spark, contract, weather_code=[51]) == [
         "weather_code: expected integer, got list"
     ]
     assert check_json(spark, contract, city_id={"a": 1}) == ["city_id: expected string, got dict"]
@@ -154,7 +154,7 @@ def test_unknown_type_only_fails_on_a_value(spark):
 
 
 def test_split(spark, contract):
-    rows = [tuple(VALID.values()), tuple((VALID | {"latitude": 999.0}).values())]
+    rows = [tuple(VALID.values()), tuple((VALID | {"latitude": -90.25}).values())]
     accepted, rejected = split_valid(spark.createDataFrame(rows, SCHEMA), contract)
     assert accepted.count() == 1
     assert "latitude" in rejected.first()["_reasons"][0]
@@ -167,12 +167,12 @@ def test_absent_column(spark, contract):
 
 
 def test_unknown_fields(spark, contract):
-    texts = [json.dumps({"city_id": "oslo", "uv_index": 4.0, "_note": 1}), '{"city_id": "oslo"}']
+    texts = [json.dumps({"city_id": "oslo", "soil_ph": 6.5, "_note": 1}), '{"city_id": "oslo"}']
     df = spark.createDataFrame([(1, t) for t in texts], "unit int, text string").select(
         "unit", F.parse_json("text").alias("doc")
     )
     rows = unknown_fields(df, contract, "doc", ["unit"]).collect()
-    assert [tuple(r) for r in rows] == [(1, "uv_index", 1)]
+    assert [tuple(r) for r in rows] == [(1, "soil_ph", 1)]
 
 
 def test_unknown_fields_rejected(spark):

@@ -9,7 +9,7 @@ from tablegate.operators.merge import incremental_merge, merge_counts, merge_row
 from tablegate.session import read_if_exists
 
 SCHEMA = "k int, day date, v string, h string"
-D1, D2, D3 = date(2026, 8, 1), date(2026, 8, 2), date(2026, 8, 3)
+D1, D2, D3 = date(2025, 3, 1), date(2025, 3, 2), date(2025, 3, 3)
 
 
 def frame(spark, *rows):
@@ -99,7 +99,7 @@ def test_upsert_is_idempotent(spark, tmp_path):
     second = frame(spark, (2, D2, "B", "y"), (3, D2, "c", "y"), (4, D3, "d", "y"))
     assert totals(upsert(spark, path, second, ["k"], "day", "h")) == (2, 1)
     assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {1: "a", 2: "B", 3: "c", 4: "d"}
-    untouched = list((tmp_path / "raw" / "day=2026-08-01").glob("*.parquet"))
+    untouched = list((tmp_path / "raw" / "day=2025-03-01").glob("*.parquet"))
     assert [stamps[p] for p in untouched] == [p.stat().st_mtime_ns for p in untouched]
 
 
@@ -169,7 +169,7 @@ def test_merge_matches_brute_force(spark, seed):
     import random
 
     rng = random.Random(seed)
-    days = [datetime(2026, 8, d).date() for d in range(1, 6)]
+    days = [datetime(2025, 3, d).date() for d in range(1, 6)]
 
     def table(n):
         return {k: (k, days[k % 5], f"v{rng.random()}", rng.choice(["x", "y", None])) for k in rng.sample(range(200), n)}

@@ -70,7 +70,7 @@ def test_out_of_bounds_names_every_column(spark, catalogue):
 
 
 def payloads(spark, *texts, city="oslo"):
-    rows = [(date(2026, 8, 20), f"{city}{i or ''}", t, 1.0, 2.0) for i, t in enumerate(texts)]
+    rows = [(date(2025, 3, 20), f"{city}{i or ''}", t, 1.0, 2.0) for i, t in enumerate(texts)]
     df = spark.createDataFrame(
         rows, "observation_date date, city_id string, payload string, _lat double, _lon double"
     )
@@ -91,9 +91,9 @@ def test_flatten(spark, contract):
     rows = contract.prepare(rows)
     typed = rows.select(contract.typed(rows)).orderBy("observed_at_utc").collect()
     assert len(typed) == 24
-    assert typed[5].observed_at_utc == datetime(2026, 8, 20, 5)
-    assert typed[5].temperature_2m_c == pytest.approx(18.5)
-    assert (typed[5].weather_code, typed[5].latitude) == (3, 52.52)
+    assert typed[5].observed_at_utc == datetime(2025, 3, 20, 5)
+    assert typed[5].temperature_2m_c == pytest.approx(4.1)
+    assert (typed[5].weather_code, typed[5].latitude) == (2, 41.15)
     assert split_valid(rows.select(contract.field_names), contract)[1].count() == 0
 
 
@@ -101,8 +101,8 @@ def test_ragged_series_is_refused(spark):
     parsed = payloads(spark, make_payload(temperature_2m=[1.0]), make_payload(precipitation=[]))
     found = {r.city_id: r.problem for r in refused_units(parsed, ["city_id"]).collect()}
     assert found == {
-        "oslo": "oslo: series 'temperature_2m' has 1 points but 'time' has 24",
-        "oslo1": "oslo1: series 'precipitation' has 0 points but 'time' has 24",
+        "oslo": "oslo: series 'temperature_2m' holds 1 values for 24 times",
+        "oslo1": "oslo1: series 'precipitation' holds 0 values for 24 times",
     }
     assert flat(parsed).count() == 0
 
@@ -154,13 +154,13 @@ def test_unknown_series(spark):
 
 def test_read_payloads(spark, tmp_path):
     for city in ("01", "02"):
-        folder = tmp_path / "observation_date=2026-08-20" / f"city_id={city}"
+        folder = tmp_path / "observation_date=2025-03-20" / f"city_id={city}"
         folder.mkdir(parents=True)
         (folder / "payload.json").write_text(json.dumps(json.loads(make_payload()), indent=1))
     rows = read_payloads(spark, str(tmp_path), UNIT_SCHEMA).orderBy("city_id").collect()
     assert [(r.city_id, r.observation_date) for r in rows] == [
-        ("01", date(2026, 8, 20)),
-        ("02", date(2026, 8, 20)),
+        ("01", date(2025, 3, 20)),
+        ("02", date(2025, 3, 20)),
     ]
     assert json.loads(rows[0].payload) == json.loads(make_payload())
 
@@ -199,7 +199,7 @@ def landed(spark, day, city, n, h="h1"):
 
 
 def test_land_overwrites_one_unit_only(spark, tmp_path):
-    path, d1, d2 = str(tmp_path / "land"), date(2026, 8, 20), date(2026, 8, 21)
+    path, d1, d2 = str(tmp_path / "land"), date(2025, 3, 20), date(2025, 3, 21)
     land(landed(spark, d1, "01", 24).union(landed(spark, d2, "01", 24)), path)
     assert len(list((tmp_path / "land").glob("*/*/*.parquet"))) == 2  # one file per unit
     land(landed(spark, d1, "01", 3, "h2"), path)
@@ -213,8 +213,8 @@ def test_land_overwrites_one_unit_only(spark, tmp_path):
 
 def test_temporary_files_are_ignored(spark, tmp_path):
     path = str(tmp_path / "land")
-    land(landed(spark, date(2026, 8, 20), "oslo", 2), path)
-    stray = tmp_path / "land" / "observation_date=2026-08-20" / "city_id=oslo" / ".x.parquet.tmp"
+    land(landed(spark, date(2025, 3, 20), "oslo", 2), path)
+    stray = tmp_path / "land" / "observation_date=2025-03-20" / "city_id=oslo" / ".x.parquet.tmp"
     stray.write_text("half")
     assert read_landed(spark, path, LANDED).count() == 2
 
@@ -225,7 +225,7 @@ def test_hot_unit_is_split(spark, tmp_path):
         F.rand(1).alias("v"),
         F.lit("b").alias("_batch_id"),
         F.lit("h").alias("_source_payload_hash"),
-        F.lit(date(2026, 8, 20)).alias("observation_date"),
+        F.lit(date(2025, 3, 20)).alias("observation_date"),
         F.when(F.col("id") % 100 == 0, "small").otherwise("hot").alias("city_id"),
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "262144")
@@ -243,9 +243,9 @@ def test_hot_unit_is_split(spark, tmp_path):
 
 def observations(spark, n, bad):
     schema = "city_id string, latitude double, longitude double, observed_at_utc timestamp_ntz, relative_humidity_2m_pct double, observation_date date"
-    day = date(2026, 8, 20)
+    day = date(2025, 3, 20)
     rows = [
-        ("oslo", 59.9, 10.7, datetime(2026, 8, 20, i % 24), 250.0 if i < bad else 50.0, day)
+        ("oslo", 59.9, 10.7, datetime(2025, 3, 20, i % 24), 250.0 if i < bad else 50.0, day)
         for i in range(n)
     ]
     return spark.createDataFrame(rows, schema)
@@ -263,7 +263,7 @@ def test_gate_refuses_many_rejects(spark, contract):
     gated = gate(rows, contract, ["city_id", "observation_date"])
     assert not gated.report.first().passed
     assert gated.accepted.count() == 0 and gated.rejected.count() == 2
-    with pytest.raises(Exception, match=r"oslo 2026-08-20: 2/10 rows \(20.0%\) violate contract weather_observation v1, above the 2.0% threshold"):
+    with pytest.raises(Exception, match=r"oslo 2025-03-20: 2 of 10 rows rejected \(20.0%, limit 2.0%\) by weather_observation v1"):
         gate(rows, contract, ["city_id", "observation_date"], strict=True)
 
 
@@ -289,7 +289,7 @@ def test_gate_without_refusals_does_not_shuffle_rows(spark, contract):
 def test_quarantine_roundtrip_and_clean_rerun(spark, contract, tmp_path):
     path, unit = str(tmp_path / "q"), ["observation_date", "city_id"]
     assert read_quarantine(spark, path, UNIT_SCHEMA).count() == 0
-    at = datetime(2026, 8, 22, tzinfo=UTC)
+    at = datetime(2025, 3, 22, tzinfo=UTC)
     rejected = gate(observations(spark, 200, 1), contract, unit).rejected
     units = observations(spark, 1, 0).select(unit)
     write_quarantine(quarantine_lines(rejected, contract, unit, at), path, unit, units)
