@@ -1,9 +1,14 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark.
+"""An interpolated modified Kneser-Ney model of order 2 or 3, counted in Spark.
 
 The model is a folder of sorted arrays in the shared folder: the words' hashes with their
 counts and continuation statistics, and for each shard the sorted codes of the bigrams with
-their counts. Workers memory-map them. Bigrams below MIN_COUNT are counted in every
-statistic and their mass goes to the lower order, but they are not stored.
+their counts. Workers memory-map them. Bigrams below ``min_count`` are counted in every
+statistic and their mass goes to the lower order, but they are not stored; by default all
+are stored.
+
+A model of order 3 also holds the trigrams, coded by the place of their first two words in
+the bigrams' shard and the third word. Its bigrams score by the number of different words
+before them; those at the beginning of a text, which nothing precedes, by their count.
 
 Counting: tasks send each shard one compressed block of sorted bigram codes; a shard holds
 a bounded number of bigrams, so the number of shards grows with the input. Contexts with
@@ -33,7 +38,8 @@ from tablegate.llm.store import open_array, write_array
 from tablegate.session import _remove, materialize, scratch_path
 
 FOLDS = 10
-MIN_COUNT = 2
+ORDER = 3
+MIN_COUNT = 1
 TOKENS_PER_SHARD = 4_000_000
 WORDS_PER_PART = 8_000_000
 SALTS = 64
@@ -66,11 +72,13 @@ class Model:
     tokens: int = 0
     hot: int = 0
     min_count: int = MIN_COUNT
-    # Numbers of bigram types with count 1 to 4, and of words with continuation 1 to 4.
+    # Numbers of bigram and trigram types with count 1 to 4, and of words with continuation 1 to 4.
     bigram_counts: tuple[int, ...] = (0, 0, 0, 0)
+    trigram_counts: tuple[int, ...] = (0, 0, 0, 0)
     word_counts: tuple[int, ...] = (0, 0, 0, 0)
     types: int = 0
     many: int = 0
+    order: int = 2
 
 
 def discounts(counts: tuple[int, ...]) -> np.ndarray:
@@ -258,6 +266,50 @@ def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+FIELDS = ["before", "total", "ones", "twos", "more"]
+STATS = "id long, " + ", ".join(f"{f} long" for f in FIELDS)
+
+
+def kinds_of(counts: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Numbers of types with count 1, 2 and 3 or more in the groups from the starts."""
+    return [np.add.reduceat(kind * 1, starts) for kind in (counts == 1, counts == 2, counts > 2)]
+
+
+def numbers_of(counts: np.ndarray) -> np.ndarray:
+    return np.array([(counts == i).sum() for i in range(1, 5)], np.int64)
+
+
+def statistics(codes: np.ndarray, counts: np.ndarray, *numbers: np.ndarray) -> pa.RecordBatch:
+    """The words' statistics in a shard of bigrams; numbers of types have negative ids."""
+    left, right = codes >> 32, codes & 0xFFFFFFFF
+    seen, starts = np.unique(left, return_index=True)
+    after, before = np.unique(right, return_counts=True)
+    extra = np.concatenate([numbers_of(counts), *numbers])
+    ids = np.concatenate([seen, after, -1 - np.arange(len(extra))])
+    zero = np.zeros(len(after) + len(extra), np.int64)
+    first = np.concatenate([np.zeros(len(seen), np.int64), before, extra])
+    rest = [np.add.reduceat(counts, starts), *kinds_of(counts, starts)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array(first)] + [pa.array(np.concatenate([x, zero])) for x in rest],
+        names=["id", *FIELDS],
+    )
+
+
+def blocks_of(key: np.ndarray, codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Keys and their packed blocks, of codes that are sorted."""
+    order = np.argsort(key, kind="stable")
+    key, codes, times = key[order], codes[order], times[order]
+    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
+    return key[edges[:-1]], [pack(codes[a:b], times[a:b]) for a, b in zip(edges, edges[1:])]
+
+
+def dealt_blocks(blocks: DataFrame, model: Model, start: bytes = b"") -> DataFrame:
+    """The blocks by shard, with an empty one for each so that none is missing."""
+    none = F.lit(bytearray(start + pack(np.zeros(0, np.int64), np.zeros(0, np.int64))))
+    every = blocks.sparkSession.range(model.shards).select(F.col("id").alias("shard"), none.alias("block"))
+    return blocks.union(every).repartition(min(model.shards, 200_000), "shard").sortWithinPartitions("shard")
+
+
 def count_bigrams(training: DataFrame, model: Model) -> Model:
     """Writes the shards of bigrams and the statistics of all words."""
 
@@ -271,12 +323,9 @@ def count_bigrams(training: DataFrame, model: Model) -> Model:
             codes, times = np.unique(left << 32 | right, return_counts=True)
             left, right = codes >> 32, codes & 0xFFFFFFFF
             shard = shard_of(model, left, right, vocabulary.take(counts, left))
-            order = np.argsort(shard, kind="stable")
-            shard, codes, times = shard[order], codes[order], times[order]
-            edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-            blocks = [pack(codes[a:b], times[a:b]) for a, b in zip(edges, edges[1:])]
+            keys, blocks = blocks_of(shard, codes, times)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[edges[:-1]]), pa.array(blocks, pa.binary())], names=["shard", "block"]
+                [pa.array(keys), pa.array(blocks, pa.binary())], names=["shard", "block"]
             )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,30 +335,164 @@ def count_bigrams(training: DataFrame, model: Model) -> Model:
             stored = counts >= model.min_count
             write_array(model.folder, f"bigram-{shard}", codes[stored])
             write_array(model.folder, f"bigram-count-{shard}", counts[stored])
-            left, right = codes >> 32, codes & 0xFFFFFFFF
-            seen, starts = np.unique(left, return_index=True)
-            kinds = [np.add.reduceat((counts == 1) * 1, starts), np.add.reduceat((counts == 2) * 1, starts)]
-            kinds.append(np.add.reduceat((counts > 2) * 1, starts))
-            totals = np.add.reduceat(counts, starts)
-            after, before = np.unique(right, return_counts=True)
-            numbers = np.array([(counts == i).sum() for i in range(1, 5)])
-            ids = np.concatenate([seen, after, -1 - np.arange(4)])
-            zero = np.zeros(len(after) + 4, np.int64)
-            first = np.concatenate([np.zeros(len(seen), np.int64), before, numbers])
+            if model.order == 2:
+                yield statistics(codes, counts)
+
+    blocks = training.mapInArrow(send, "shard long, block binary")
+    found = dealt_blocks(blocks, model).mapInArrow(merge, STATS)
+    if model.order > 2:
+        found.count()
+        found = count_trigrams(training, model)
+    stats = materialize(found.groupBy("id").agg(*[F.sum(f).alias(f) for f in FIELDS]))
+    numbers = {r["id"]: r["before"] for r in stats.filter("id < 0").collect()}
+    return write_stats(stats.filter("id >= 0"), replace(
+        model,
+        bigram_counts=tuple(numbers.get(-i, 0) for i in range(1, 5)),
+        trigram_counts=tuple(numbers.get(-i, 0) for i in range(5, 9)),
+    ), FIELDS)
+
+
+class Bigrams:
+    """The memory-mapped shards of bigrams."""
+
+    def __init__(self, model: Model, vocabulary: Vocabulary):
+        self.model, self.vocabulary = model, vocabulary
+        self.counts = vocabulary.column("count", "<i8")
+        self.opened: dict[tuple[str, int], np.ndarray] = {}
+
+    def array(self, name: str, shard: int, kind: str = "<i8") -> np.ndarray:
+        if (name, shard) not in self.opened:
+            self.opened[name, shard] = open_array(self.model.folder, f"{name}-{shard}", kind)
+        return self.opened[name, shard]
+
+    def places(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each bigram's shard and its place there, -1 where it is not stored."""
+        shards, out = np.zeros(len(left), np.int64), np.full(len(left), -1, np.int64)
+        at = np.flatnonzero((left >= 0) & (right >= 0))
+        codes = left[at] << 32 | right[at]
+        shards[at] = shard_of(self.model, left[at], right[at], self.vocabulary.take(self.counts, left[at]))
+        for shard, rows in grouped(shards[at]):
+            known = self.array("bigram", shard)
+            place = found_in(known, codes[rows])
+            out[at[rows]] = place
+        return shards, out
+
+    def take(self, name: str, shards: np.ndarray, places: np.ndarray, kind: str = "<i8") -> np.ndarray:
+        """An array's values at the places; 0 for -1."""
+        out = np.zeros(len(places), np.int64)
+        at = np.flatnonzero(places >= 0)
+        for shard, rows in grouped(shards[at]):
+            out[at[rows]] = self.array(name, shard, kind)[places[at[rows]]]
+        return out
+
+
+def grouped(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each key with its rows."""
+    order = np.argsort(keys, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0, [True]])) if len(keys) else []
+    for a, b in zip(edges, edges[1:]):
+        yield int(keys[order[a]]), order[a:b]
+
+
+def found_in(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Places of the codes among the sorted known ones, or -1."""
+    if not len(known):
+        return np.full(len(codes), -1, np.int64)
+    place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    return np.where(known[place] == codes, place, -1)
+
+
+def trigram_shard(model: Model, shard: np.ndarray, count: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A trigram's shard: that of its first two words, salted by the third for hot ones."""
+    return shard * SALTS + np.where(count > model.hot, word % SALTS, 0)
+
+
+def starts_of(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
+    """Writes the shards of trigrams and the bigrams' statistics; gives those of the words."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(model)
+        bigrams = Bigrams(model, vocabulary)
+        begin = int(vocabulary.ids([BEGIN])[0])
+        for words, lengths in batches_of_tokens(_texts(batches)):
+            right = vocabulary.ids(words)
+            pairs, which = np.unique(contexts(right, lengths, begin) << 32 | right, return_inverse=True)
+            # The pair before each word but a text's first is the one that ends there.
+            inner = np.ones(len(right), bool)
+            inner[starts_of(lengths)] = False
+            at = np.flatnonzero(inner)
+            codes, times = np.unique(which[at - 1] << 32 | right[at], return_counts=True)
+            pair, word = codes >> 32, codes & 0xFFFFFFFF
+            shards, places = bigrams.places(pairs >> 32, pairs & 0xFFFFFFFF)
+            counts = bigrams.take("bigram-count", shards, places)
+            key = trigram_shard(model, shards[pair], counts[pair], word)
+            keys, blocks = blocks_of(key, places[pair] << 32 | word, times)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), pa.array(blocks, pa.binary())], names=["shard", "block"]
+            )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(model)
+        bigrams = Bigrams(model, vocabulary)
+        for key, columns in _groups(batches, "shard", ["block"]):
+            unpacked = [unpack(b) for b in columns["block"]]
+            codes, counts = summed(*(np.concatenate(x) for x in zip(*unpacked)))
+            kind = np.min_scalar_type(int(counts.max()))
+            write_array(model.folder, f"trigram-{key}", codes)
+            write_array(model.folder, f"trigram-count-{key}", counts.astype(kind.newbyteorder("<")))
+            place, word = codes >> 32, codes & 0xFFFFFFFF
+            shard = key // SALTS
+            left = bigrams.array("bigram", shard)[place] & 0xFFFFFFFF
+            # One more word stands before each of these bigrams.
+            later, before = np.unique(left << 32 | word, return_counts=True)
+            left, word = later >> 32, later & 0xFFFFFFFF
+            to = shard_of(model, left, word, vocabulary.take(bigrams.counts, left))
+            keys, blocks = blocks_of(to, later, before)
+            # The first byte tells these from the statistics of what follows a bigram.
+            first, starts = np.unique(place, return_index=True)
+            follow = [pack(first, x) for x in kinds_of(counts, starts)]
+            summary = np.array([key, kind.itemsize, *numbers_of(counts)], "<i8").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), pa.array(first)] + [pa.array(np.concatenate([k, zero])) for k in (totals, *kinds)],
-                names=["id", "before", "total", "ones", "twos", "more"],
+                [
+                    pa.array([*keys.tolist(), shard, shard, shard, -1], pa.int64()),
+                    pa.array(
+                        [b"\0" + b for b in blocks] + [bytes([i]) + b for i, b in enumerate(follow, 1)] + [summary],
+                        pa.binary(),
+                    ),
+                ],
+                names=["shard", "block"],
             )
 
-    fields = ["before", "total", "ones", "twos", "more"]
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin = int(Vocabulary(model).ids([BEGIN])[0])
+        nothing = np.zeros(0, np.int64)
+        for shard, columns in _groups(batches, "shard", ["block"]):
+            if shard < 0:
+                rows = np.array([np.frombuffer(b, "<i8") for b in columns["block"]])
+                rows = rows[np.argsort(rows[:, 0])]
+                write_array(model.folder, "trigram-shards", rows[:, :2].astype("<i8"))
+                yield statistics(nothing, nothing, rows[:, 2:].sum(axis=0))
+                continue
+            codes = open_array(model.folder, f"bigram-{shard}", "<i8")
+            counts = open_array(model.folder, f"bigram-count-{shard}", "<i8")
+            sums = [np.zeros(len(codes), np.int64) for _ in range(4)]
+            for block in columns["block"]:
+                number, (own, times) = block[0], unpack(block[1:])
+                sums[number][found_in(codes, own) if number == 0 else own] += times
+            adjusted = np.where(codes >> 32 == begin, counts, sums[0])
+            write_array(model.folder, f"bigram-before-{shard}", adjusted.astype("<i8"))
+            for name, values in zip(("ones", "twos", "more"), sums[1:]):
+                write_array(model.folder, f"bigram-{name}-{shard}", values.astype("<u4"))
+            yield statistics(np.asarray(codes), adjusted)
+
     blocks = training.mapInArrow(send, "shard long, block binary")
     dealt = blocks.repartition(min(model.shards, 200_000), "shard").sortWithinPartitions("shard")
-    found = dealt.mapInArrow(merge, "id long, " + ", ".join(f"{f} long" for f in fields))
-    stats = materialize(found.groupBy("id").agg(*[F.sum(f).alias(f) for f in fields]))
-    bigrams = {r["id"]: r["before"] for r in stats.filter("id < 0").collect()}
-    return write_stats(stats.filter("id >= 0"), replace(
-        model, bigram_counts=tuple(bigrams.get(-i, 0) for i in range(1, 5))
-    ), fields)
+    later = dealt_blocks(dealt.mapInArrow(merge, "shard long, block binary"), model, b"\0")
+    return later.mapInArrow(finish, STATS)
 
 
 def write_stats(stats: DataFrame, model: Model, fields: list[str]) -> Model:
@@ -350,10 +533,12 @@ def write_stats(stats: DataFrame, model: Model, fields: list[str]) -> Model:
     )
 
 
-def train(training: DataFrame, folder: str, min_count: int = MIN_COUNT) -> Model:
+def train(training: DataFrame, folder: str, min_count: int = MIN_COUNT, order: int = 2) -> Model:
     """A model of the ``text`` of the training rows, in ``folder``."""
+    if order not in (2, 3) or (order == 3 and min_count > 1):
+        raise ValueError("the order is 2, or 3 with all bigrams stored")
     texts = training.select("text")
-    model = replace(count_words(texts, folder), min_count=min_count)
+    model = replace(count_words(texts, folder), min_count=min_count, order=order)
     return count_bigrams(texts, model)
 
 
@@ -367,32 +552,29 @@ class Scorer:
         self.counts = v.column("count", "<i8")
         self.totals = v.column("total", "<i8")
         self.small = {f: v.column(f, "<i4") for f in ("before", "ones", "twos", "more")}
-        self.shards: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.bigrams = Bigrams(model, v)
         self.begin = int(v.ids([BEGIN])[0])
         self.d1 = discounts(model.word_counts)
         self.d2 = discounts(model.bigram_counts)
-
-    def shard(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        if i not in self.shards:
-            self.shards[i] = tuple(
-                open_array(self.model.folder, f"{n}-{i}", "<i8") for n in ("bigram", "bigram-count")
-            )
-        return self.shards[i]
-
-    def bigram_counts(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(left), np.int64)
-        at = np.flatnonzero((left >= 0) & (right >= 0))
-        codes = left[at] << 32 | right[at]
-        shard = shard_of(self.model, left[at], right[at], self.vocabulary.take(self.counts, left[at]))
-        order = np.argsort(shard, kind="stable")
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) != 0, [True]]))
-        for a, b in zip(edges, edges[1:]):
-            rows = order[a:b]
-            known, counts = self.shard(int(shard[rows[0]])) if len(rows) else ((), ())
-            if len(known):
-                place = np.minimum(np.searchsorted(known, codes[rows]), len(known) - 1)
-                found = known[place] == codes[rows]
-                out[at[rows[found]]] = counts[place[found]]
+        self.d3 = discounts(model.trigram_counts)
+        self.trigrams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.widths: dict[int, int] = {}
+        if any(model.trigram_counts):
+            self.widths = dict(open_array(model.folder, "trigram-shards", "<i8").reshape(-1, 2).tolist())
+
+    def trigram_counts(self, key: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(codes), np.int64)
+        for shard, rows in grouped(key):
+            if shard not in self.widths:
+                continue
+            if shard not in self.trigrams:
+                self.trigrams[shard] = (
+                    open_array(self.model.folder, f"trigram-{shard}", "<i8"),
+                    open_array(self.model.folder, f"trigram-count-{shard}", f"<u{self.widths[shard]}"),
+                )
+            known, counts = self.trigrams[shard]
+            place = found_in(known, codes[rows])
+            out[rows] = np.where(place >= 0, counts[place], 0)
         return out
 
     def unigram(self, right: np.ndarray) -> np.ndarray:
@@ -415,7 +597,8 @@ class Scorer:
         base = np.log10((c + 0.1) / (m.tokens + 0.1 * (m.words + 1)))
         total = v.take(self.totals, left)
         ones, twos, more = (v.take(self.small[f], left) for f in ("ones", "twos", "more"))
-        pair = self.bigram_counts(left, right)
+        shards, places = self.bigrams.places(left, right)
+        pair = self.bigrams.take("bigram-before" if m.order > 2 else "bigram-count", shards, places)
         held = np.maximum(pair - self.d2[np.minimum(pair, 3)], 0)
         # The whole mass of bigrams that are not stored goes to the lower order.
         spare = (1.0 if m.min_count > 1 else self.d2[1]) * ones
@@ -423,7 +606,9 @@ class Scorer:
         some = np.maximum(total, 1)
         lower = self.unigram(right)
         p = np.where(total > 0, held / some + spare / some * lower, lower)
-        starts = np.cumsum(lengths) - lengths
+        starts = starts_of(lengths)
+        if m.order > 2:
+            p = self.with_trigrams(p, right, shards, places, starts)
         return (
             np.add.reduceat((c > 0) * 1, starts),
             np.add.reduceat(base, starts),
@@ -431,6 +616,30 @@ class Scorer:
         )
 
 
+    def with_trigrams(
+        self, lower: np.ndarray, right: np.ndarray, shards: np.ndarray, places: np.ndarray, starts: np.ndarray
+    ) -> np.ndarray:
+        """The probabilities after two words, where those were seen together."""
+        b = self.bigrams
+        inner = np.ones(len(right), bool)
+        inner[starts] = False
+        at = np.flatnonzero(inner)
+        at = at[places[at - 1] >= 0]
+        shard, place, word = shards[at - 1], places[at - 1], right[at]
+        total = b.take("bigram-count", shard, place)
+        d = self.d3
+        spare = sum(
+            d[i] * b.take(f"bigram-{name}", shard, place, "<u4") for i, name in enumerate(("ones", "twos", "more"), 1)
+        )
+        count = np.zeros(len(at), np.int64)
+        known = np.flatnonzero(word >= 0)
+        key = trigram_shard(self.model, shard[known], total[known], word[known])
+        count[known] = self.trigram_counts(key, place[known] << 32 | word[known])
+        p = lower.copy()
+        p[at] = np.maximum(count - d[np.minimum(count, 3)], 0) / total + spare / total * lower[at]
+        return p
+
+
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity)."""
 
@@ -459,7 +668,9 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def trained_and_scored(docs: DataFrame, folds: int = FOLDS, min_count: int = MIN_COUNT) -> DataFrame:
+def trained_and_scored(
+    docs: DataFrame, folds: int = FOLDS, min_count: int = MIN_COUNT, order: int = 2
+) -> DataFrame:
     """Scores of all texts under the model of those whose fold is not 0.
 
     The model is dropped once the scores are kept.
@@ -467,7 +678,7 @@ def trained_and_scored(docs: DataFrame, folds: int = FOLDS, min_count: int = MIN
     spark = docs.sparkSession
     rows = docs.select("doc_id", (fold_of(F.col("doc_id"), folds) == 0).alias("held_out"), "text")
     folder = scratch_path(spark, "ngram-model")
-    model = train(rows.filter("NOT held_out"), folder, min_count)
+    model = train(rows.filter("NOT held_out"), folder, min_count, order)
     kept = materialize(scores(rows, model))
     _remove(spark, folder)
     return kept

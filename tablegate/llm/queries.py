@@ -65,8 +65,8 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's probability under the bigram model."""
-    return ngram.trained_and_scored(_table(spark, folder, "documents"))
+    """Every document's probability under the trigram model."""
+    return ngram.trained_and_scored(_table(spark, folder, "documents"), order=ngram.ORDER)
 
 
 def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,6 +22,7 @@ from tablegate.llm import (
     mixing,
     ngram,
     quality,
+    queries,
     runs,
     simhash,
     substrings,
@@ -342,6 +343,60 @@ def test_ngram_scores(docs, rows, empty, monkeypatch, min_count, per_shard):
         assert ngram.trained_and_scored(empty).count() == 0
 
 
+def brute_trigram_scores(rows):
+    training = [r for r in rows if zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10]
+    padded = lambda r: [b"\n\n", *words(r[1]), b"\n"]
+    tri, two = Counter(), Counter()
+    for r in training:
+        own = padded(r)
+        tri.update(zip(own, own[1:], own[2:]))
+        two.update(zip(own, own[1:]))
+    pairs = Counter((b, c) for _, b, c in tri) | Counter({p: k for p, k in two.items() if p[0] == b"\n\n"})
+    ones = Counter(w for _, w in two)
+    of = lambda counts: tuple(sum(k == i for k in counts) for i in range(1, 5))
+    tables = []
+    for grams in (tri, pairs):
+        after = defaultdict(list)
+        for gram, k in grams.items():
+            after[gram[:-1]].append(k)
+        tables.append((grams, after, ngram.discounts(of(grams.values()))))
+    d1, vocabulary = ngram.discounts(of(ones.values())), len(set(ones))
+    spare = sum(d1[min(k, 3)] for k in ones.values()) / len(two)
+
+    def probability(gram):
+        if len(gram) == 1:
+            k = ones[gram[0]]
+            return max(k - d1[min(k, 3)], 0) / len(two) + spare / (vocabulary + 1)
+        lower = probability(gram[1:])
+        grams, after, d = tables[3 - len(gram)]
+        seen, k = after.get(gram[:-1], []), grams[gram]
+        if not seen:
+            return lower
+        return (max(k - d[min(k, 3)], 0) + sum(d[min(x, 3)] for x in seen) * lower) / sum(seen)
+
+    out = []
+    for r in rows:
+        own = padded(r)
+        out.append((r[0], len(own) - 1, sum(math.log10(probability(tuple(own[max(0, i - 2) : i + 1]))) for i in range(1, len(own)))))
+    return out
+
+
+@pytest.mark.parametrize("per_shard,hot", [(4_000_000, 1 / 500), (500, 1 / 2000)])
+def test_trigram_scores(docs, rows, empty, spark, monkeypatch, tmp_path, per_shard, hot):
+    monkeypatch.setattr(ngram, "TOKENS_PER_SHARD", per_shard)
+    monkeypatch.setattr(ngram, "HOT_SHARE", hot)
+    key = lambda x: (x[0] is None, x[0] or 0, x[1], round(x[2], 6))
+    expected = sorted(brute_trigram_scores(rows), key=key)
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op5_lm_scoring(spark, str(tmp_path)).collect()
+    got = sorted(((r["doc_id"], r["n_tokens"], r["score"]) for r in got), key=key)
+    assert [g[:2] for g in got] == [e[:2] for e in expected]
+    assert np.allclose([g[2] for g in got], [e[2] for e in expected], rtol=1e-9)
+    assert ngram.trained_and_scored(empty, order=3).count() == 0
+    blank = docs.filter("text = ''")
+    assert ngram.trained_and_scored(blank.union(blank.withColumn("doc_id", F.lit(1))), order=3).count() == 2
+
+
 def test_url_rules_and_graph(spark):
     html = lambda *hosts: "".join(f'<a href="https://{h}/x">x</a>' for h in hosts)
     data = [
