@@ -3,8 +3,10 @@
 Trust starts at the pages that a rule allows and follows links; distrust starts at the
 pages that a rule blocks and goes against them, as who links to a blocked host is suspect.
 Both are personalised PageRanks over host edges, in units of pages. Edges are the absolute
-links of the pages, and one each way between a host and its parent domain if both have
-pages.
+links of the pages, and one each way between a host and its parent domain. Hosts that are
+only linked to and all parent domains are part of the graph; without a page of their own
+they count as one page that a rule on the whole host allows or blocks. Names of a single
+label and numeric addresses are no parent domains.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and fits no
 rule; a null html has no links; repeated rows count as further pages; a host without links
@@ -59,21 +61,48 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> tuple[
     return text, action
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(source, target, weight) between different hosts."""
+def host_links(pages: DataFrame) -> DataFrame:
+    """(source, target, weight): the absolute links between different hosts."""
     links = pages.select(
         F.col("host").alias("source"),
         F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("target"),
     )
-    links = links.select("source", F.translate("target", UPPER, LOWER).alias("target"), F.lit(1.0).alias("weight"))
-    parent = F.regexp_extract("host", r"^[^.]*\.(.+)$", 1)
-    family = hosts.select(F.col("host").alias("source"), parent.alias("target")).join(
-        hosts.select(F.col("host").alias("target")), "target"
+    links = links.select("source", F.translate("target", UPPER, LOWER).alias("target"))
+    links = links.filter("source <> target AND source <> '' AND target <> ''")
+    return links.groupBy("source", "target").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def parents_of(host: Column) -> Column:
+    """The parent domains of at least two labels, nearest first."""
+    labels = F.size(F.split(host, "[.]"))
+    parents = F.transform(
+        F.sequence(F.lit(1), labels - 2),
+        lambda i: F.array_join(F.slice(F.split(host, "[.]"), i + 1, labels), "."),
+    )
+    proper = (labels > 2) & ~host.rlike(r"^[0-9.]+(:[0-9]+)?$|[.][.]|^[.]|[.]$")
+    return F.when(proper, parents).otherwise(F.array().cast("array<string>"))
+
+
+def graph(hosts: DataFrame, links: DataFrame, rules: Sequence[Rule] = RULES) -> tuple[DataFrame, DataFrame]:
+    """Nodes (host, allowed, blocked) and edges (source, target, weight)."""
+    named = hosts.select("host").union(links.select(F.col("target").alias("host"))).distinct()
+    every = named.select(
+        F.explode(F.concat(F.array("host"), parents_of(F.col("host")))).alias("name")
+    ).distinct()
+    _, action = rule_of(F.col("name"), F.lit("/"), rules)
+    nodes = every.join(hosts, F.col("name") == F.col("host"), "left").select(
+        F.col("name").alias("host"),
+        F.coalesce("allowed", F.when(action == "allow", 1).otherwise(0)).cast("long").alias("allowed"),
+        F.coalesce("blocked", F.when(action == "block", 1).otherwise(0)).cast("long").alias("blocked"),
+    )
+    family = every.select("name", F.get(parents_of(F.col("name")), F.lit(0)).alias("parent")).filter(
+        "parent IS NOT NULL"
     )
-    up = family.select("source", "target", F.lit(1.0).alias("weight"))
-    down = family.select(F.col("target").alias("source"), F.col("source").alias("target"), F.lit(1.0).alias("weight"))
-    every = links.union(up).union(down).filter("source <> target AND source <> '' AND target <> ''")
-    return every.groupBy("source", "target").agg(F.sum("weight").alias("weight"))
+    one = F.lit(1.0).alias("weight")
+    up = family.select(F.col("name").alias("source"), F.col("parent").alias("target"), one)
+    down = family.select(F.col("parent").alias("source"), F.col("name").alias("target"), one)
+    edges = links.union(up).union(down).groupBy("source", "target").agg(F.sum("weight").alias("weight"))
+    return nodes, edges
 
 
 def propagated(
@@ -132,8 +161,8 @@ def judged(
             F.count(F.when(F.col("action") == "block", 1)).alias("blocked"),
         )
     )
-    edges = materialize(host_edges(rows, hosts))
-    scores = propagated(hosts, edges, damping, rounds)
+    nodes, edges = graph(hosts, materialize(host_links(rows)), rules)
+    scores = propagated(materialize(nodes), materialize(edges), damping, rounds)
     excess = F.col("distrust") - F.col("trust")
     suspect = hosts.join(scores, "host").filter(
         excess > F.col("pages") * F.lit(threshold * (1 - damping))

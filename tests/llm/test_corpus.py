@@ -429,6 +429,33 @@ def test_url_rules_and_graph(spark):
     assert links.judged(pages.filter("false")).count() == 0
 
 
+def test_uncrawled_hosts_are_part_of_the_graph(spark):
+    link = '<a href="http://spam.net/x">x</a>'
+    data = [
+        (1, "http://farm.info/", link),
+        (2, "http://x.site.com/1", None),
+        (3, "http://x.site.com/2", None),
+        (4, "http://x.site.com/3", None),
+        (5, "http://deep.y.site.com/", None),
+        (6, "http://y.other.com/", None),
+        (7, "http://1.2.3.4/", None),
+    ]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    rules = (("block", "net", "/"), ("block", "x.site.com", "/"))
+    got = {r["page_id"]: r["verdict"] for r in links.judged(pages, rules, threshold=0.3).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow"}
+    hosts = spark.createDataFrame([("deep.y.site.com", 1, 0), ("1.2.3.4", 0, 0)], "host string, allowed long, blocked long")
+    found = spark.createDataFrame([("1.2.3.4", "spam.net", 2.0)], "source string, target string, weight double")
+    nodes, edges = links.graph(hosts, found)
+    assert {tuple(r) for r in nodes.collect()} == {
+        ("deep.y.site.com", 1, 0), ("y.site.com", 0, 0), ("site.com", 0, 0), ("1.2.3.4", 0, 0), ("spam.net", 0, 1)
+    }
+    assert {(r["source"], r["target"]) for r in edges.collect()} == {
+        ("deep.y.site.com", "y.site.com"), ("y.site.com", "deep.y.site.com"),
+        ("y.site.com", "site.com"), ("site.com", "y.site.com"), ("1.2.3.4", "spam.net"),
+    }
+
+
 def test_propagation_is_pagerank(spark):
     rng = random.Random(4)
     hosts = [(f"h{i}", rng.randrange(5), rng.randrange(5)) for i in range(12)]
