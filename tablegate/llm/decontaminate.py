@@ -3,10 +3,11 @@
 A seed is a fixed mask over a window of tokens whose zeros are ignored, so a substituted
 token at such a place does not hide a passage. Seeds of items and documents are joined on
 their hash; each hit gives a shift between the two, along which the passage is verified.
+The masks are chosen so that whatever verification accepts has a hit.
 
 Defined cases: null texts have no tokens; items with fewer than MIN_TOKENS tokens are too
-short to be evidence and match nothing; shorter ones than a seed match by all their tokens
-in a row; rows that repeat a (doc_id, text) or (item_id, text) give one result; without
+short to be evidence and match nothing; ones shorter than a window are a window of their
+own length; rows that repeat a (doc_id, text) or (item_id, text) give one result; without
 items or documents the result is empty.
 """
 
@@ -21,8 +22,17 @@ from tablegate.llm.common import content_hash, packed, small_or_shuffled, text_o
 from tablegate.operators.once import computed_once
 from tablegate.session import materialize
 
-# Seven of ten tokens each; no two masks ignore the same three places.
-MASKS = ("1101011011", "1011101101", "1110010111")
+# Seven tokens each. Together they hit every window of WINDOW tokens that is verified.
+MASKS = ("1101011011", "1011101101", "1110010111", "111110011")
+# Masks of items shorter than WINDOW, by the least number of tokens they serve; each set
+# hits every item of such a length that is verified. They are used where items need them.
+SHORT_MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("11111", "111101", "111011", "110111", "101111"),
+    7: ("11111", "111011", "110111"),
+    8: ("111111", "1111011", "1101111"),
+    10: ("1110111", "11011011", "111111", "111000111", "1101001011"),
+}
 MIN_TOKENS = 5
 # A passage is verified if this many percent of some window of this many tokens agree.
 WINDOW = 13
@@ -69,25 +79,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: Sequence[str] = M
     One row for each (doc_id, text) and item whose passage is verified; ``content`` is the
     hash of the text. best_window counts the equal tokens of the best window.
     """
-    span = min(map(len, masks))
+    sets = {**SHORT_MASKS, WINDOW: masks}
     items = materialize(_items(benchmark))
-    # Lengths of the items that no mask fits: fewer than `span` values.
-    short = [r[0] for r in items.filter(F.size("item_tokens") < span).select(
-        F.size("item_tokens")).distinct().collect()]
-    item_rows = items.select("item_key", F.col("item_tokens").alias("tokens"))
-    long_items = item_rows.filter(F.size("tokens") >= span)
-    all_masks = [*masks, *["1" * length for length in short]]
-    seeds = _seeds(long_items, dict(enumerate(masks)))
-    for number, length in enumerate(short, len(masks)):
-        exact = item_rows.filter(F.size("tokens") == length)
-        seeds = seeds.union(_seeds(exact, {number: "1" * length}))
+    size = F.size("item_tokens")
+    # The set that serves an item: a handful of values.
+    least = F.lit(min(sets))
+    for length in sorted(sets):
+        least = F.when(size >= length, length).otherwise(least)
+    item_rows = items.select("item_key", F.col("item_tokens").alias("tokens"), least.alias("least"))
+    used = [r[0] for r in item_rows.select("least").distinct().collect()] or [WINDOW]
+    numbers = {mask: i for i, mask in enumerate(dict.fromkeys(m for length in sorted(used) for m in sets[length]))}
+    all_masks = {i: mask for mask, i in numbers.items()}
+    seeds = None
+    for length in used:
+        own = item_rows.filter(F.col("least") == length).drop("least")
+        found = _seeds(own, {numbers[mask]: mask for mask in sets[length]})
+        seeds = found if seeds is None else seeds.union(found)
     seeds = small_or_shuffled(
         materialize(seeds.select("item_key", F.col("at").alias("item_at"), "seed"))
     )
 
     text = text_of()
     rows = docs.select("doc_id", content_hash(text).alias("content"), tokens_of(text).alias("tokens"))
-    hits = _seeds(rows, dict(enumerate(all_masks))).join(seeds, "seed")
+    hits = _seeds(rows, all_masks).join(seeds, "seed")
     shifts = materialize(
         hits.select(
             "doc_id", "content", "item_key", (F.col("at") - F.col("item_at")).alias("shift")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import zlib
@@ -257,6 +258,36 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.decontaminate(table, bench.filter("false")).count() == 10
 
 
+def test_every_verified_pattern_is_found(spark):
+    items, data, expected = [], [], set()
+    for length in range(5, 17):
+        own = [f"i{length}x{i}" for i in range(length)]
+        items.append((length, " ".join(own)))
+        for k in range(4):
+            for bad in itertools.combinations(range(length), k):
+                changed = ["other" if i in bad else w for i, w in enumerate(own)]
+                window = min(decontaminate.WINDOW, length)
+                best = max(
+                    sum(j not in bad for j in range(i, i + window)) for i in range(length - window + 1)
+                )
+                doc = len(data)
+                # Bare, so that changed ends are also the ends of the text, or inside a text.
+                data.append((doc, " ".join(changed if doc % 2 else ["a", "b", *changed, "c"])))
+                if best * 100 >= window * decontaminate.MIN_PERCENT:
+                    expected.add((doc, length, best))
+        for cut in range(1, 4):
+            kept = own[cut:] if cut % 2 else own[:-cut]
+            window = min(decontaminate.WINDOW, length)
+            data.append((len(data), " ".join(kept)))
+            best = min(window, length - cut)
+            if best * 100 >= window * decontaminate.MIN_PERCENT:
+                expected.add((len(data) - 1, length, best))
+    table = spark.createDataFrame(data, "doc_id long, text string").coalesce(2)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["best_window"]) for r in decontaminate.contaminated(table, bench).collect()}
+    assert got == expected
+
+
 def test_raking_reaches_the_marginals(docs, empty):
     rows = mixing.calibrated(docs).collect()
     assert len(rows) == docs.count() and all(0 <= r["probability"] <= 1 for r in rows)
