@@ -14,11 +14,15 @@ from tablegate.llm import (
     links,
     mixing,
     ngram,
+    periodic,
+    pivots,
     quality,
     simhash,
     substrings,
     tokens,
 )
+from tablegate.llm.common import text_of, words_of
+from tablegate.operators.once import computed_once
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -96,6 +100,58 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(_table(spark, folder, "documents"))
 
 
+def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's number of links, its component, and whether it stays."""
+    return pivots.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents, the words of every tenth (by its id's CRC-32) repeated from a place on."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = computed_once(
+        docs.withColumn("code", code),
+        {"words": F.when(F.col("code") % 10 == 0, words_of(text_of()))},
+    )
+    n, g = F.size("words"), F.floor(F.col("code") / 10)
+    start = (g % n).cast("int")
+    period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+    rows = computed_once(rows, {"n": n, "start": start, "period": period})
+    place = F.expr(
+        "transform(sequence(0, n - 1), "
+        "i -> words[if(i < start, i, start + (i - start) % period)])"
+    )
+    text = F.when(F.col("n") > 0, F.array_join(place, " ")).otherwise(F.col("text"))
+    return rows.withColumn("text", text).select("doc_id", "text")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's runs of repeated words, as digests, and the one of greatest exponent."""
+    rows = periodic.periodic_runs(with_planted_runs(_table(spark, folder, "documents")))
+    best = F.expr(
+        "array_sort(runs, (a, b) -> CASE "
+        "WHEN a.length * b.period <> b.length * a.period "
+        "THEN IF(a.length * b.period > b.length * a.period, -1, 1) "
+        "WHEN a.start <> b.start THEN IF(a.start < b.start, -1, 1) "
+        "WHEN a.period <> b.period THEN IF(a.period < b.period, -1, 1) ELSE 0 END)"
+    )
+    listed = F.array_join(
+        F.transform(
+            "runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n")))
+        ),
+        "",
+    )
+    first = F.get(best, F.lit(0))
+    rows = computed_once(rows, {"best": F.when(F.size("runs") > 0, first)})
+    return rows.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("clean_text", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
@@ -107,6 +163,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
@@ -197,4 +255,21 @@ SQL: dict[str, str] = {
                CAST(len(w) AS BIGINT) AS n_words, first_doc_id, first_unit_no
         FROM ranked WHERE doc_id IS DISTINCT FROM first_doc_id OR unit_no <> first_unit_no
     """,
+    "op12_embedding_dedup": """
+        WITH RECURSIVE every AS (
+            SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        good AS (SELECT * FROM every WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+                 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.r AS x, b.r AS y FROM good a JOIN good b ON a.label = b.label AND a.r <> b.r
+            WHERE len(a.v) = len(b.v)
+              AND list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98),
+        reached AS (SELECT r AS x, r AS y FROM every UNION
+                    SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+        parts AS (SELECT x, min(vec_id) AS component_id FROM reached JOIN every ON y = r GROUP BY x),
+        counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+        FROM every JOIN parts ON parts.x = r LEFT JOIN counted ON counted.x = r
+    """,
 }
