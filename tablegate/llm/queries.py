@@ -15,6 +15,7 @@ from tablegate.llm import (
     mixing,
     ngram,
     periodic,
+    phrases,
     pivots,
     quality,
     simhash,
@@ -100,6 +101,11 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(_table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Each language's first phrases by the score of their weakest cut."""
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every vector's number of links, its component, and whether it stays."""
     return pivots.near_duplicates(_table(spark, folder, "embeddings"))
@@ -163,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_token_counts": op10_token_counts,
+    "op11_collocations": op11_collocations,
     "op12_embedding_dedup": op12_embedding_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -255,6 +262,33 @@ SQL: dict[str, str] = {
                CAST(len(w) AS BIGINT) AS n_words, first_doc_id, first_unit_no
         FROM ranked WHERE doc_id IS DISTINCT FROM first_doc_id OR unit_no <> first_unit_no
     """,
+    "op11_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                   FROM words, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k),
+        counted AS (SELECT lang, k, w[i:i + k - 1] AS p, CAST(count(*) AS HUGEINT) AS a FROM places GROUP BY ALL),
+        totals AS (SELECT lang, sum(a) AS n FROM counted WHERE k = 1 GROUP BY lang),
+        found AS (SELECT * FROM counted WHERE k > 1 AND a >= 10),
+        cuts AS (SELECT f.lang, f.k, f.p, f.a, c, x.a AS l, y.a AS r, 1000000 * f.a * f.a // (x.a * y.a) AS score
+                 FROM (SELECT *, unnest(range(1, k)) AS c FROM found) f
+                 JOIN counted x ON x.lang = f.lang AND x.p = f.p[1:c]
+                 JOIN counted y ON y.lang = f.lang AND y.p = f.p[c + 1:k]),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
+        inside AS (SELECT lang, q, max(a) AS longer
+                   FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS q FROM found WHERE k = 3) GROUP BY ALL),
+        ranked AS (
+            SELECT w.*, array_to_string(w.p, ' ') AS phrase, row_number() OVER (
+                       PARTITION BY w.lang ORDER BY score DESC, a DESC, array_to_string(w.p, ' ')) AS place
+            FROM lowest w LEFT JOIN inside i ON i.lang = w.lang AND i.q = w.p
+            WHERE longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, place AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+               CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals USING (lang) WHERE place <= 2000
+    """,
     "op12_embedding_dedup": """
         WITH RECURSIVE every AS (
             SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
