@@ -276,7 +276,7 @@ SQL: dict[str, str] = {
         cuts AS (SELECT f.lang, f.k, f.p, f.a, c, x.a AS l, y.a AS r, 1000000 * f.a * f.a // (x.a * y.a) AS score
                  FROM (SELECT *, unnest(range(1, k)) AS c FROM found) f
                  JOIN counted x ON x.lang = f.lang AND x.p = f.p[1:c]
-                 JOIN counted y ON y.lang = f.lang AND y.p = f.p[c + 1:k]),
+                 JOIN counted y ON y.lang = f.lang AND y.p = f.p[c + 1:f.k]),
         lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
         inside AS (SELECT lang, q, max(a) AS longer
                    FROM (SELECT lang, a, unnest([p[1:2], p[2:3]]) AS q FROM found WHERE k = 3) GROUP BY ALL),
