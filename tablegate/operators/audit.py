@@ -33,15 +33,35 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 LOADED, SKIPPED, FAILED = "loaded", "skipped_unchanged", "failed"
+# When an attempt began, and the day that audit rows are stored under.
+ATTEMPTED, DAY = "started_at_utc", "observation_date"
 
 
 def audit_append(rows: DataFrame, path: str) -> None:
-    """Append audit rows; missing columns are null."""
+    """Append audit rows under the day of their unit; missing columns are null."""
     columns = []
     for field in AUDIT_SCHEMA:
         value = F.col(field.name) if field.name in rows.columns else F.lit(None)
         columns.append(value.cast(field.dataType).alias(field.name))
-    rows.select(*columns).write.mode("append").parquet(path)
+    stored = rows.select(*columns).hint("rebalance", DAY)
+    stored.write.mode("append").partitionBy(DAY).parquet(path)
+
+
+def load_state(
+    audit: DataFrame,
+    unit: Sequence[str] = ("city_id", "observation_date"),
+    source_hash: str = "source_payload_hash",
+) -> DataFrame:
+    """The payload that each unit was last loaded from, one row per unit.
+
+    An audit without a time of the attempt knows no order: then every payload that was
+    ever loaded counts. Either way each map task sends a unit or a payload at most once.
+    """
+    loaded = audit.filter(F.col("status") == LOADED)
+    if ATTEMPTED not in audit.columns:
+        return loaded.select(*unit, source_hash).distinct()
+    last = F.max_by(source_hash, F.struct(ATTEMPTED, source_hash))
+    return loaded.groupBy(*unit).agg(last.alias(source_hash))
 
 
 def loaded_before(
@@ -50,18 +70,13 @@ def loaded_before(
     unit: Sequence[str] = ("city_id", "observation_date"),
     source_hash: str = "source_payload_hash",
 ) -> DataFrame:
-    """Add ``already_loaded``: this payload of this unit has a successful load.
+    """Add ``already_loaded``: the unit's last successful load was of this payload.
 
-    All units are looked up in one join. The audit is reduced to distinct keys
-    first, since a unit may have been attempted any number of times.
+    All units are looked up in one join. A payload that was loaded, then replaced by
+    another one and now comes back is loaded again.
     """
     keys = [*unit, source_hash]
-    seen = (
-        audit.filter(F.col("status") == LOADED)
-        .select(*keys)
-        .distinct()
-        .withColumn("_seen", F.lit(True))
-    )
+    seen = load_state(audit, unit, source_hash).withColumn("_seen", F.lit(True))
     return (
         units.join(seen, keys, "left")
         .withColumn("already_loaded", F.coalesce("_seen", F.lit(False)))
@@ -76,9 +91,7 @@ def skip_unchanged(
     source_hash: str = "source_payload_hash",
 ) -> DataFrame:
     """Units that still have to be loaded."""
-    keys = [*unit, source_hash]
-    seen = audit.filter(F.col("status") == LOADED).select(*keys).distinct()
-    return units.join(seen, keys, "left_anti")
+    return units.join(load_state(audit, unit, source_hash), [*unit, source_hash], "left_anti")
 
 
 def recent_attempts(audit: DataFrame, as_of: datetime, hours: int = 12) -> DataFrame:

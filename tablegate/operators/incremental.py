@@ -8,6 +8,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablegate.sources.publish import newest_partition
+
 # Restated days, and the day before any data.
 RESTATEMENT_DAYS = 7
 EPOCH = date(1900, 1, 1)
@@ -52,7 +54,12 @@ def target_day(interval_start: datetime, lag_days: int) -> date:
 
 
 def clamp_range(start: date, end: date, as_of: date, lag_days: int) -> tuple[date, date] | None:
-    """The range cut to the newest day; None when nothing is left to do."""
+    """The range cut to the newest day; None when nothing is left to do.
+
+    A range asked for the wrong way round is an error, not an empty one.
+    """
+    if start > end:
+        raise ValueError(f"inverted range: {start} to {end}")
     end = min(end, newest_day(as_of, lag_days))
     return (start, end) if start <= end else None
 
@@ -75,6 +82,14 @@ def restatement_cutoff(target: DataFrame | None, column: str, days: int = RESTAT
     return (newest or EPOCH) - timedelta(days=days)
 
 
+def stored_cutoff(
+    spark: SparkSession, path: str, column: str, days: int = RESTATEMENT_DAYS
+) -> date:
+    """The same for a stored table partitioned by day: folder names give its newest day."""
+    newest = newest_partition(spark, path, column)
+    return (EPOCH if newest is None else date.fromisoformat(newest)) - timedelta(days=days)
+
+
 def restated_days(rows: DataFrame, column: str, first: date, last: date) -> DataFrame:
     """Rows of an explicit range, for the rebuild after a backfill of old days."""
     return rows.filter(F.col(column).between(first, last))

@@ -1,23 +1,25 @@
 """Upsert on plain Parquet.
 
 Parquet has no row-level operations, so a merge rewrites the partitions it
-changes and no others. One writer at a time; replacing several partitions is
-not atomic across them, but a merge that was cut off can simply be run again.
+changes and no others. They are replaced all or none (``sources.publish``): a
+merge that is cut off before its manifest is in place changed nothing, and one
+that is cut off later is finished by the next writer and read whole before that.
+One writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.operators.checks import check_unique_combination
 from tablegate.operators.dedupe import dedupe_latest
 from tablegate.operators.joins import semi_join
-from tablegate.session import materialize, read_if_exists, staged
-from tablegate.sources.landing import write_partitions
+from tablegate.session import materialize, staged
+from tablegate.sources.publish import read_table, record_schema, recover, replace_partitions
 
 # So many partitions are named one by one in a filter.
 _LISTED_PARTITIONS = 1000
@@ -70,17 +72,22 @@ def merge_rows(
     return present.unionByName(absent)
 
 
+_COUNTS = {"inserted": "insert", "updated": "update", "unchanged": "unchanged", "kept": "keep"}
+
+
+def _action_counts() -> list:
+    return [
+        F.count_if(F.col("_action") == action).alias(f"rows_{name}")
+        for name, action in _COUNTS.items()
+    ]
+
+
 def merge_counts(merged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Inserted, updated, unchanged and kept rows, overall or per group.
 
     Only keys, guard and ``by`` are read, the other columns are pruned.
     """
-    return merged.groupBy(*by).agg(
-        F.count_if(F.col("_action") == "insert").alias("rows_inserted"),
-        F.count_if(F.col("_action") == "update").alias("rows_updated"),
-        F.count_if(F.col("_action") == "unchanged").alias("rows_unchanged"),
-        F.count_if(F.col("_action") == "keep").alias("rows_kept"),
-    )
+    return merged.groupBy(*by).agg(*_action_counts())
 
 
 def upsert(
@@ -114,24 +121,46 @@ def upsert(
             )
     group = [*count_by, *([] if partition in count_by else [partition])]
 
-    target = read_if_exists(spark, path, schema)
+    recover(spark, path)
+    target = read_table(spark, path, schema)
     if target is None:
         target = spark.createDataFrame([], schema or source.schema)
-    touched = _partitions(source.select(partition).distinct(), partition)
+    touched = named_partitions(source.select(partition).distinct(), partition)
     if touched is None:
         return materialize(merge_counts(merge_rows(target.limit(0), source, keys, guard), group))
     target = touched(target)
 
     counts = materialize(merge_counts(merge_rows(target, source, keys, guard), group))
     changed = counts.filter("rows_inserted + rows_updated > 0").select(partition).distinct()
-    affected = _partitions(changed, partition)
+    affected = named_partitions(changed, partition)
     if affected is not None:
         merged = merge_rows(affected(target), affected(source), keys, guard)
-        write_partitions(merged.drop("_action"), path, [partition], sort_by=keys)
+        _write(merged, path, partition, keys)
     return counts
 
 
-def _partitions(
+def _write(
+    merged: DataFrame,
+    path: str,
+    partition: str,
+    keys: Sequence[str],
+    actions: Observation | None = None,
+) -> None:
+    """Publish merged rows; ``actions`` counts them where they are written.
+
+    That is in the last stage, behind the shuffle: a task of it that is run again after
+    a lost executor counts once.
+    """
+    record_schema(merged.sparkSession, path, merged.drop("_action").schema)
+
+    def finish(rows: DataFrame) -> DataFrame:
+        counted = rows if actions is None else rows.observe(actions, *_action_counts())
+        return counted.drop("_action")
+
+    replace_partitions(merged, path, [partition], sort_by=keys, finish=finish)
+
+
+def named_partitions(
     values: DataFrame, partition: str
 ) -> Callable[[DataFrame], DataFrame] | None:
     """A filter for some partitions, listed as literals so that the scan is pruned.
@@ -153,7 +182,22 @@ def _partitions(
 
 def incremental_merge(
     spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], partition: str
-) -> DataFrame:
-    """Merge a rebuilt window into a mart: matched rows are always updated."""
+) -> dict[str, int]:
+    """Merge a rebuilt window into a mart: matched rows are always updated.
+
+    Every partition of the window changes, so none has to be looked at first: the
+    target's are read once, and the counts returned come from the write itself.
+    """
     with staged(rows, "mart-window") as window:
-        return upsert(spark, path, window, keys, partition)
+        if not check_unique_combination(window, keys).isEmpty():
+            raise ValueError(f"the source of a merge repeats keys ({', '.join(keys)})")
+        recover(spark, path)
+        target = read_table(spark, path)
+        if target is None:
+            target = spark.createDataFrame([], window.schema)
+        touched = named_partitions(window.select(partition).distinct(), partition)
+        if touched is None:
+            return {f"rows_{name}": 0 for name in _COUNTS}
+        actions = Observation()
+        _write(merge_rows(touched(target), window, keys), path, partition, keys, actions)
+        return actions.get

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 
 from tablegate.operators.checks import (
     Check,
+    KeyedCheck,
+    calendar_failures,
     check_accepted_values,
     check_calendar_gaps,
     check_completeness,
@@ -20,6 +22,10 @@ from tablegate.operators.checks import (
     is_future,
     is_missing,
     is_outside,
+    keyed_accepted,
+    keyed_reconcile,
+    keyed_relationship,
+    keyed_unique,
 )
 from tablegate.plans.marts import DAILY_GRAIN, GRAIN
 
@@ -102,3 +108,39 @@ def weather_checks(tables: dict[str, DataFrame], as_of: datetime) -> list[Check]
         ),
         Check("assert_no_future_observations", hourly, is_future("observed_at_utc", as_of)),
     ]
+
+
+def weather_checks_together(tables: dict[str, DataFrame], as_of: datetime) -> list[Check | KeyedCheck]:
+    """The same checks, written for :func:`tablegate.operators.checks.run_together`."""
+    checks: list[Check | KeyedCheck] = []
+    for name, columns in UNIQUE.items():
+        for column in columns:
+            checks.append(keyed_unique(f"unique_{name}_{column}", tables[name], [column], nulls=False))
+    for name, columns in NOT_NULL.items():
+        for column in columns:
+            checks.append(Check(f"not_null_{name}_{column}", tables[name], is_missing(column)))
+    for name, parent in PARENTS.items():
+        checks.append(
+            keyed_relationship(
+                f"relationships_{name}_city_id", tables[name], "city_id", tables[parent], "city_id"
+            )
+        )
+    for name, (column, values) in ACCEPTED.items():
+        checks.append(keyed_accepted(f"accepted_values_{name}_{column}", tables[name], column, values))
+    for name, ranges in RANGES.items():
+        for column, low, high, severity in ranges:
+            outside = is_outside(column, low, high)
+            checks.append(
+                Check(f"accepted_range_{name}_{column}", tables[name], outside, severity=severity)
+            )
+    for name, grain in GRAINS.items():
+        checks.append(keyed_unique(f"unique_combination_{name}", tables[name], grain))
+    hourly, daily = tables["fct_weather_hourly"], tables["agg_weather_daily"]
+    incomplete, gaps = calendar_failures(daily, "city_id")
+    return [
+        *checks,
+        keyed_reconcile("assert_daily_matches_hourly", hourly, daily, DAILY_GRAIN),
+        Check("assert_hourly_completeness", failing=incomplete, severity="warn", counted=True),
+        Check("assert_no_missing_days", failing=gaps, severity="warn", counted=True),
+        Check("assert_no_future_observations", hourly, is_future("observed_at_utc", as_of)),
+    ]

@@ -6,7 +6,8 @@ together; a unit that fails is recorded and does not stop the others.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import logging
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
@@ -38,12 +39,20 @@ from tablegate.operators.validate import (
 )
 from tablegate.session import materialize, read_if_exists, staged
 from tablegate.sources.contract import Contract
-from tablegate.sources.landing import land, with_metadata
-from tablegate.sources.payloads import flatten_series, unknown_names, with_series
+from tablegate.sources.landing import BUCKETS, land_units, with_metadata
+from tablegate.sources.payloads import flatten_series, latest_documents, unknown_names, with_series
 from tablegate.sources.quarantine import quarantine_lines, write_quarantine
 
+log = logging.getLogger(__name__)
+
 UNIT = ["observation_date", "city_id"]
 
+# The gate's report of no unit, for a run that fails before it.
+_NO_REPORT = (
+    "observation_date date, city_id string, total_rows long, accepted_rows long, "
+    "rejected_rows long, reject_ratio double, passed boolean"
+)
+
 # Target column of each hourly series.
 WEATHER_SERIES = {
     "temperature_2m_c": "temperature_2m",
@@ -56,9 +65,10 @@ WEATHER_SERIES = {
 
 @dataclass(frozen=True)
 class Store:
-    """Where a dataset's tables live."""
+    """Where a dataset's tables live; landing and quarantine have ``buckets`` a day."""
 
     root: str
+    buckets: int = BUCKETS
 
     @property
     def landing(self) -> str:
@@ -116,17 +126,21 @@ def ingest_units(
     land_only: bool = False,
     started_at: datetime | None = None,
     days: tuple[date, date] | None = None,
+    delivered: Sequence[str] = (),
 ) -> DataFrame:
     """Ingest one payload (``city_id, observation_date, payload``) per unit.
 
     Returns one row per unit with status, counts, error and the names of series
     in its payload that the contract does not know. A planned unit without
-    payload or rows is a failure, not an empty batch. ``full_refresh``
-    ignores earlier loads and updates matched rows even when the hash is equal.
-    ``days``, if known, limits how much of the audit is read.
+    payload or rows is a failure, not an empty batch, and so is a payload that no plan
+    asked for. Of several documents of a unit the last by the columns ``delivered`` is
+    taken, as a whole. ``full_refresh`` ignores earlier loads and updates matched rows even
+    when the hash is equal. ``days``, if known, limits how much of the audit is read.
+    A failure on the way is audited for every unit that was to load, and raised.
     """
     preflight(contract, catalogue)
     started = started_at or datetime.now(tz=UTC)
+    payloads = latest_documents(payloads, UNIT, delivered)
     places = catalogue.select(
         "city_id",
         F.col("latitude").alias("_latitude"),
@@ -149,30 +163,32 @@ def ingest_units(
     to_load = units.filter(F.col("problem").isNull() & ~F.col("already_loaded"))
     todo = semi_join(parsed, to_load, UNIT)
 
-    with staged(_checked_rows(todo, contract, series), "checked-rows") as rows:
-        report = materialize(gate_report(rows, UNIT, F.col("_rejected"), max_reject_ratio))
-        rejected = rows.filter("_rejected")
-        lines = quarantine_lines(rejected, contract, UNIT, started, F.col("_row"))
-        write_quarantine(lines, store.quarantine, UNIT, to_load)
-
-        passing = anti_join(rows.filter("not _rejected"), report.filter("not passed"), UNIT)
-        accepted = with_metadata(
-            passing.drop("_rejected", "_reasons", "_row"),
-            {
-                "_ingested_at_utc": utc_literal(started),
-                "_batch_id": batch_id("city_id", "observation_date", contract.version),
-                "_contract_version": F.lit(contract.version),
-            },
-        )
-        land(accepted, store.landing, UNIT)
-        if land_only:
-            return materialize(_results(units, report, None, contract, max_reject_ratio))
-        try:
+    report = spark.createDataFrame([], _NO_REPORT)
+    try:
+        with staged(_checked_rows(todo, contract, series), "checked-rows") as rows:
+            report = materialize(gate_report(rows, UNIT, F.col("_rejected"), max_reject_ratio))
+            rejected = rows.filter("_rejected")
+            lines = quarantine_lines(rejected, contract, UNIT, started, F.col("_row"))
+            write_quarantine(lines, store.quarantine, UNIT, to_load, store.buckets)
+
+            passing = anti_join(rows.filter("not _rejected"), report.filter("not passed"), UNIT)
+            accepted = with_metadata(
+                passing.drop("_rejected", "_reasons", "_row"),
+                {
+                    "_ingested_at_utc": utc_literal(started),
+                    "_batch_id": batch_id("city_id", "observation_date", contract.version),
+                    "_contract_version": F.lit(contract.version),
+                },
+            )
+            land_units(accepted, store.landing, UNIT, report.filter("passed"), store.buckets)
+            if land_only:
+                return materialize(_results(units, report, None, contract, max_reject_ratio))
             counts = _load(spark, accepted, contract, store, full_refresh)
-        except Exception as error:
+    except Exception as error:
+        if not land_only:
             failed = _results(units, report, None, contract, max_reject_ratio, str(error))
             _write_audit(failed, store, contract, run_id, started)
-            raise
+        raise
     results = materialize(_results(units, report, counts, contract, max_reject_ratio))
     _write_audit(results, store, contract, run_id, started)
     return results
@@ -202,9 +218,16 @@ def _unit_states(
         F.col("_unknown").alias("unknown_fields"),
     )
     if plan is not None:
+        planned = plan.select(*UNIT, F.lit(True).alias("_planned"))
         nothing = F.col("source_payload_hash").isNull() & F.col("problem").isNull()
-        problem = F.when(nothing, "producer returned no rows").otherwise(F.col("problem"))
-        units = plan.select(*UNIT).join(units, UNIT, "left").withColumn("problem", problem)
+        unasked = F.col("_planned").isNull() & F.col("problem").isNull()
+        problem = (
+            F.when(unasked, "unit was not planned")
+            .when(nothing, "producer returned no rows")
+            .otherwise(F.col("problem"))
+        )
+        both = planned.join(units, UNIT, "full")
+        units = both.withColumn("problem", problem).drop("_planned")
     if previous is None:
         return units.withColumn("already_loaded", F.lit(False))
     return loaded_before(units, previous)
@@ -333,12 +356,15 @@ def ingest_range(
     preflight(contract, catalogue)
     window = clamp_range(start, end, as_of, contract.source_lag_days)
     if window is None:
+        log.warning("nothing to do: %s lies after the producer's newest day", start)
         nothing = T.StructType(
             [T.StructField(f"rows_{k}", T.LongType()) for k in ("inserted", "updated", "rejected")]
             + [T.StructField("status", T.StringType())]
         )
         return run_summary(spark.createDataFrame([], nothing))
     first, last = window
+    if last < end:
+        log.warning("range cut to the producer's newest day: %s instead of %s", last, end)
     plan = work_units(catalogue, first, last, max_days=max_days)
     results = ingest_units(
         spark,

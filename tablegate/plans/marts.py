@@ -21,12 +21,13 @@ from tablegate.operators.dedupe import dedupe_latest
 from tablegate.operators.incremental import (
     RESTATEMENT_DAYS,
     restated_days,
-    restatement_cutoff,
     restatement_filter,
+    stored_cutoff,
 )
-from tablegate.operators.joins import small
-from tablegate.operators.merge import incremental_merge, merge_rows
-from tablegate.session import read_if_exists
+from tablegate.operators.joins import semi_join, small
+from tablegate.operators.merge import incremental_merge, merge_rows, named_partitions
+from tablegate.session import materialize
+from tablegate.sources.publish import read_table
 
 # Staging names and types of the landed columns, size bands.
 STAGING_COLUMNS = (
@@ -179,34 +180,40 @@ def build_marts(
     window_days: int = RESTATEMENT_DAYS,
     days: tuple[date, date] | None = None,
     as_of: datetime | None = None,
+    units: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Staging views, then dimension, fact and daily aggregate below ``root``.
 
     The dimension is rebuilt whole. Fact and aggregate rebuild the window that
-    ends at their own newest day, or everything on the first run. ``days`` names
-    the affected days instead, as a backfill of old days must: those lie before
-    the window.
+    ends at their own newest day, or everything on the first run; the newest day is a
+    folder name, so no data is read to find it. ``days`` names an affected range instead,
+    and ``units`` the affected (city, day) themselves, as a backfill of old days must:
+    those lie before the window.
     """
     cities = small(stage_cities(catalogue))
     dim_city(cities, coverage(raw)).write.mode("overwrite").parquet(_mart(spark, root, "dim_city"))
+    affected = None if units is None else materialize(units.select(*DAILY_GRAIN).distinct())
 
     fact_path = _mart(spark, root, "fct_weather_hourly")
-    recent = _window(raw, read_if_exists(spark, fact_path), window_days, days)
+    recent = _window(raw, fact_path, window_days, days, affected)
     fact_rows = fct_weather_hourly(stage_observations(recent), cities, as_of)
     incremental_merge(spark, fact_path, fact_rows, ["observation_key"], "observation_date")
 
     daily_path = _mart(spark, root, "agg_weather_daily")
-    fact = read_if_exists(spark, fact_path)
-    recent = _window(fact, read_if_exists(spark, daily_path), window_days, days)
+    fact = read_table(spark, fact_path)
+    if fact is None:
+        fact = fact_rows.limit(0)
+    recent = _window(fact, daily_path, window_days, days, affected)
     daily_rows = agg_weather_daily(recent, as_of=as_of)
     incremental_merge(spark, daily_path, daily_rows, DAILY_GRAIN, "observation_date")
 
+    daily = read_table(spark, daily_path)
     marts = {
         "stg_weather__observations": stage_observations(raw),
         "stg_weather__cities": cities,
-        "dim_city": read_if_exists(spark, _mart(spark, root, "dim_city")),
+        "dim_city": read_table(spark, _mart(spark, root, "dim_city")),
         "fct_weather_hourly": fact,
-        "agg_weather_daily": read_if_exists(spark, daily_path),
+        "agg_weather_daily": daily_rows.limit(0) if daily is None else daily,
     }
     publish_views(marts)
     return marts
@@ -225,10 +232,29 @@ def rebuild_marts(
     return build_marts(spark, raw, catalogue, root, days=(first, last), as_of=as_of)
 
 
-def _window(rows, mart, window_days, days) -> DataFrame:
+def rebuild_units(
+    spark: SparkSession,
+    raw: DataFrame,
+    catalogue: DataFrame,
+    root: str,
+    units: DataFrame,
+    as_of: datetime | None = None,
+) -> dict[str, DataFrame]:
+    """One rebuild after a backfill of any (city, day), however far apart.
+
+    Their days are named one by one, so only their partitions are read and written; days
+    between them are not touched, nor are the other cities' rows rebuilt.
+    """
+    return build_marts(spark, raw, catalogue, root, as_of=as_of, units=units)
+
+
+def _window(rows, mart_path, window_days, days, affected) -> DataFrame:
+    if affected is not None:
+        inside = named_partitions(affected.select("observation_date").distinct(), "observation_date")
+        return rows.limit(0) if inside is None else semi_join(inside(rows), affected, DAILY_GRAIN)
     if days is not None:
         return restated_days(rows, "observation_date", *days)
-    first = restatement_cutoff(mart, "observation_date", window_days)
+    first = stored_cutoff(rows.sparkSession, mart_path, "observation_date", window_days)
     return rows.filter(F.col("observation_date") >= F.lit(first))
 
 

@@ -179,7 +179,7 @@ def quarantine_roundtrip(spark, folder):
     path = scratch_path(spark, "quarantine")
     rejected = split_valid(events_by_day(spark, folder), EVENT)[1]
     lines = quarantine_lines(rejected, EVENT, UNIT, datetime(2024, 2, 1))
-    write_quarantine(lines, path, UNIT)
+    write_quarantine(lines, path, UNIT[::-1])
     unit = T.StructType(
         [T.StructField("event_type", T.StringType()), T.StructField("day", T.DateType())]
     )

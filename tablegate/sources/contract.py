@@ -206,6 +206,8 @@ class Contract:
     primary_key: tuple[str, ...] = ()
     partition_key: str = ""
     source_lag_days: int = 0
+    freshness_warn_hours: int = 30
+    freshness_error_hours: int = 48
     unknown_field_action: str = "warn_and_keep"
 
     @classmethod
@@ -226,6 +228,11 @@ class Contract:
                 if extra := sorted(set(field) - allowed):
                     raise ContractError(f"malformed contract {origin}: unknown keys {extra}")
             compatibility = document.get("compatibility", {})
+            limits = {
+                name: int(document["sla"][name])
+                for name in ("freshness_warn_hours", "freshness_error_hours")
+                if name in document["sla"]
+            }
             return cls(
                 name=document["name"],
                 version=int(document["version"]),
@@ -235,6 +242,7 @@ class Contract:
                 partition_key=document["partition_key"],
                 source_lag_days=int(document["sla"]["source_lag_days"]),
                 unknown_field_action=compatibility.get("unknown_field_action", "warn_and_keep"),
+                **limits,
             )
         except (AttributeError, KeyError, TypeError, ValueError) as error:
             raise ContractError(f"malformed contract {origin}: {error!r}") from error

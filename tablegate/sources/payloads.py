@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.operators.joins import anti_join, semi_join
 from tablegate.operators.once import computed_once
+from tablegate.session import materialize
 
 
 def read_payloads(
@@ -21,12 +23,39 @@ def read_payloads(
     path: str,
     unit_schema: T.StructType | None = None,
     text: str = "payload",
+    delivered: str | None = None,
 ) -> DataFrame:
-    """One row per JSON file below ``path``; unit keys come from ``key=value`` folders."""
+    """One row per JSON file below ``path``; unit keys come from ``key=value`` folders.
+
+    ``delivered`` names a column for the time at which the file was written.
+    """
     reader = spark.read
     if unit_schema is not None:
         reader = reader.schema(T.StructType([T.StructField("value", T.StringType()), *unit_schema]))
-    return reader.text(path, wholetext=True).withColumnRenamed("value", text)
+    files = reader.text(path, wholetext=True)
+    if delivered is not None:
+        files = files.select("*", F.col("_metadata.file_modification_time").alias(delivered))
+    return files.withColumnRenamed("value", text)
+
+
+def latest_documents(
+    payloads: DataFrame, unit: Sequence[str], order_by: Sequence[str] = (), text: str = "payload"
+) -> DataFrame:
+    """One whole document of each unit: the last by ``order_by``, of equal ones the greatest.
+
+    Units are counted by their keys alone. Only documents of units with several are
+    shuffled, and each map task sends at most one of a unit; with none there is no shuffle.
+    """
+    counts = payloads.groupBy(*unit).agg(F.count(F.lit(1)).alias("_documents"))
+    repeated = materialize(counts.filter(F.col("_documents") > 1).select(*unit))
+    if repeated.isEmpty():
+        return payloads
+    several = semi_join(payloads, repeated, unit)
+    order = F.struct(*order_by, F.coalesce(text, F.lit("")))
+    last = several.groupBy(*[F.col(c).alias(f"_unit_{i}") for i, c in enumerate(unit)]).agg(
+        F.max_by(F.struct("*"), order).alias("_last")
+    )
+    return anti_join(payloads, repeated, unit).unionByName(last.select("_last.*"))
 
 
 def classify_responses(df: DataFrame, status: str = "status", body: str = "body") -> DataFrame:

@@ -8,13 +8,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.sources.contract import Contract
-from tablegate.sources.landing import write_partitions
+from tablegate.sources.landing import BUCKET, BUCKETS, replace_units
+from tablegate.sources.publish import read_table
 
 LINE_SCHEMA = T.StructType(
     [
@@ -50,42 +50,26 @@ def quarantine_lines(
 
 
 def write_quarantine(
-    lines: DataFrame, path: str, unit: Sequence[str], run_units: DataFrame | None = None
+    lines: DataFrame,
+    path: str,
+    unit: Sequence[str],
+    run_units: DataFrame | None = None,
+    buckets: int = BUCKETS,
 ) -> None:
-    """Replace the quarantine of the run's units.
+    """Replace the quarantine of the run's units, by default of those with lines.
 
-    A unit of ``run_units`` that is clean now but was quarantined before gets a
-    line without reasons, which takes the place of its old partition and is
-    skipped on reading. Nothing has to be deleted file by file.
+    Lines are stored by the first unit key and a bucket of the others, which are fields of
+    the line. A unit of ``run_units`` that is clean now loses its old lines.
     """
-    rows = lines
-    old = _read(lines.sparkSession, path, lines.select(*unit).schema)
-    if run_units is not None and old is not None:
-        # Only the run's span of the first unit key is read of what was there.
-        low, high = run_units.agg(F.min(unit[0]), F.max(unit[0])).first()
-        stale = (
-            old.filter(F.col(unit[0]).between(low, high))
-            .select(*unit)
-            .distinct()
-            .join(run_units.select(*unit), list(unit), "left_semi")
-            .join(lines.select(*unit).distinct(), list(unit), "left_anti")
-        )
-        rows = lines.unionByName(stale, allowMissingColumns=True)
-    write_partitions(rows, path, unit, file_format="json")
+    units = lines if run_units is None else run_units
+    schema = T.StructType([*LINE_SCHEMA, *lines.select(*unit).schema])
+    replace_units(lines, path, unit, units.select(*unit).distinct(), buckets, schema, "json")
 
 
 def read_quarantine(spark: SparkSession, path: str, unit_schema: T.StructType) -> DataFrame:
     """Quarantined rows below ``path``; nothing written yet gives no rows."""
-    lines = _read(spark, path, unit_schema)
+    schema = T.StructType([*LINE_SCHEMA, *unit_schema])
+    lines = read_table(spark, path, schema, "json")
     if lines is None:
-        return spark.createDataFrame([], T.StructType([*LINE_SCHEMA, *unit_schema]))
-    return lines.filter(F.size("_reasons") > 0)
-
-
-def _read(spark: SparkSession, path: str, unit_schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(T.StructType([*LINE_SCHEMA, *unit_schema])).json(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+        return spark.createDataFrame([], schema)
+    return lines.drop(BUCKET).filter(F.size("_reasons") > 0)
