@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.session import BROADCAST_LIMIT_BYTES, measured
+from tablegate.session import BROADCAST_LIMIT_BYTES, materialize, measured
 
 # White space that separates words: space and the ASCII controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -30,6 +33,28 @@ def compiled_pieces(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, every job drops its shuffle files when it ends.
+
+    For passes whose results are checkpointed or collected. Otherwise the files stay until
+    the driver collects its garbage, and those of several passes lie on the disks together.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The frame materialised, and the shuffle files behind it dropped."""
+    with short_lived_shuffles(df.sparkSession):
+        return materialize(df)
+
+
 def small_or_shuffled(small: DataFrame) -> DataFrame:
     """Marks a materialised frame for broadcast when its measured size allows it.
 

@@ -29,12 +29,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablegate.llm.common import small_or_shuffled
-from tablegate.session import materialize
+from tablegate.llm.common import settled, short_lived_shuffles, small_or_shuffled
 
 SUPPORT = 10
 MAX_WORDS = 3
@@ -45,12 +45,23 @@ NO_LANG = "und"
 SHARD_WORDS = 1 << 21
 # Languages, the largest ones, whose totals are broadcast; others are mined at support 1.
 LANGUAGES = 1024
-BITS_PER_ENTRY = 32
+# A phrase that occurs SUPPORT times takes as many words, so there is a bound on their number.
+BITS_PER_ENTRY = 16
 MAX_BITS = 1 << 28
 
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
-_FOLDED = bytes(b"\n"[0] if c in SEPARATORS else c + 32 if 65 <= c <= 90 else c for c in range(256))
-_BREAK = b"\n"
+_BREAK, _SPACE = b"\n", b" "
+
+
+def _folded(byte: int) -> int:
+    if byte in SEPARATORS:
+        return _BREAK[0]
+    if byte == 9:
+        return _SPACE[0]
+    return byte + 32 if 65 <= byte <= 90 else byte
+
+
+_FOLDED = bytes(map(_folded, range(256)))
 
 
 class Numbers(dict):
@@ -77,12 +88,9 @@ class Shard:
         if table is None:
             table = self.tables[lang] = Numbers()
             self.parts[lang] = []
-        words: list[bytes] = []
-        for piece in text.translate(_FOLDED).split(_BREAK):
-            found = piece.split()
-            if found:
-                words += found
-                words.append(_BREAK)
+        # Each break is a word of its own, so one split finds both.
+        marked = text.translate(_FOLDED).replace(_BREAK, b" \n ") + b" \n"
+        words = list(filter(None, marked.split(_SPACE)))
         self.words += len(words)
         self.parts[lang].append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
 
@@ -108,22 +116,26 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 class Bitmap:
     """A set of hashes that may hold a few more."""
 
-    def __init__(self, hashes: DataFrame, bits_per_entry: int = BITS_PER_ENTRY):
-        entries = hashes.count()
+    def __init__(self, hashes: DataFrame, most: int):
+        """``most`` bounds the number of hashes."""
         self.bits = 64
-        while self.bits < min(entries * bits_per_entry, MAX_BITS):
+        while self.bits < min(most * BITS_PER_ENTRY, MAX_BITS):
             self.bits *= 2
         at = F.col("hash").bitwiseAND(F.lit(self.bits - 1))
         words = hashes.select(
             F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(hash & 63 as int))").alias("bit")
         )
-        table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-        self.words = np.zeros(self.bits >> 6, np.uint64)
-        self.words[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+        # At most MAX_BITS / 64 rows.
+        with short_lived_shuffles(hashes.sparkSession):
+            table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        bits = np.zeros(self.bits >> 6, np.uint64)
+        bits[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+        self._words = hashes.sparkSession.sparkContext.broadcast(bits)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes & np.uint64(self.bits - 1)
-        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        words = self._words.value[(at >> np.uint64(6)).astype(np.int64)]
+        return (words >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
 def phrase_hashes(
@@ -152,6 +164,25 @@ def phrase_hashes(
     return places, values
 
 
+def distinct_rows(columns: list[np.ndarray], most: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of numbers below ``most``, and how often each occurs."""
+    bits = max(1, most.bit_length())
+    if bits * len(columns) < 64:
+        packed = columns[0].astype(np.int64)
+        for column in columns[1:]:
+            packed = packed << bits | column
+        found, counts = np.unique(packed, return_counts=True)
+        low = (1 << bits) - 1
+        return [(found >> bits * i) & low for i in range(len(columns) - 1, -1, -1)], counts
+    order = np.lexsort(columns[::-1])
+    first = np.ones(len(order), bool)
+    for i, column in enumerate(columns):
+        step = column[order][1:] != column[order][:-1]
+        first[1:] = step if i == 0 else first[1:] | step
+    starts = np.flatnonzero(first)
+    return [c[order[starts]] for c in columns], np.diff(np.append(starts, len(order)))
+
+
 def in_shards(
     docs: DataFrame,
     judge: Callable[[str, list[bytes], np.ndarray], pa.RecordBatch | None],
@@ -180,36 +211,37 @@ def in_shards(
     return rows.mapInArrow(mine, schema)
 
 
-def _strings(values: list[bytes]) -> pa.Array:
+def _strings(values: list[bytes | None]) -> pa.Array:
     return pa.array(values, pa.binary()).cast(pa.string())
 
 
 def word_counts(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(lang, phrase, a): how often each word occurs."""
+    """(lang, phrase, a): how often each word occurs, and with a null phrase all words."""
 
     def judge(lang: str, words: list[bytes], numbers: np.ndarray) -> pa.RecordBatch | None:
-        counts = np.bincount(numbers, minlength=len(words))[1:]
+        counts = np.bincount(numbers, minlength=len(words))
+        counts[0] = len(numbers) - counts[0]
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(counts)), _strings(words[1:]), pa.array(counts)], names=["lang", "phrase", "a"]
+            [pa.array([lang] * len(counts)), _strings([None, *words[1:]]), pa.array(counts)],
+            names=["lang", "phrase", "a"],
         )
 
     counted = in_shards(docs, judge, "lang string, phrase string, a long", shard_words)
-    return counted.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+    # Shards have counted already: nothing is left to add up before the shuffle.
+    return counted.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
 
 def mined(
     docs: DataFrame, totals: dict[str, int], sets: list[Bitmap], length: int, support: int, shard_words: int
 ) -> DataFrame:
     """(hash): the united phrases of a length, and perhaps a few more."""
-    known = docs.sparkSession.sparkContext.broadcast((totals, sets))
 
     def judge(lang: str, words: list[bytes], numbers: np.ndarray) -> pa.RecordBatch | None:
-        totals, sets = known.value
         _, values = phrase_hashes(word_hashes(lang, words), numbers, sets, length)
         found, counts = np.unique(values, return_counts=True)
         total = totals.get(lang)
         # A language of `support` shards or more has a local support of 1 in each.
-        if total is not None and total < support * shard_words:
+        if total and total < support * shard_words:
             share = int(np.count_nonzero(numbers))
             frequent = counts >= -(-support * share // total)
             found, counts = found[frequent], np.full(int(frequent.sum()), support)
@@ -218,61 +250,53 @@ def mined(
         )
 
     rows = in_shards(docs, judge, "hash long, n long", shard_words)
-    return rows.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("hash")
+    return rows.repartition("hash").groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("hash")
 
 
 def phrase_counts(
     docs: DataFrame, sets: list[Bitmap], support: int, shard_words: int
 ) -> DataFrame:
     """(lang, phrase, words, a): the exact counts of all phrases in ``sets``."""
-    known = docs.sparkSession.sparkContext.broadcast(sets)
 
     def judge(lang: str, words: list[bytes], numbers: np.ndarray) -> pa.RecordBatch | None:
-        sets = known.value
-        hashes = word_hashes(lang, words)
-        texts: list[bytes] = []
-        counts, sizes = [], []
+        hashes, spelled = word_hashes(lang, words), pa.array(words, pa.binary())
+        keys, counts = [], []
         for length in range(2, len(sets) + 1):
             places, _ = phrase_hashes(hashes, numbers, sets, length)
-            rows = np.stack([numbers[places + i] for i in range(length)], axis=1)
             # Phrases of equal words are counted by their numbers, not by their hash.
-            order = np.lexsort(rows.T[::-1])
-            rows = rows[order]
-            first = np.ones(len(rows), bool)
-            first[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-            starts = np.flatnonzero(first)
-            counts.append(np.diff(np.append(starts, len(rows))))
-            sizes.append(np.full(len(starts), length, np.int32))
-            texts += [b" ".join([words[i] for i in row]) for row in rows[starts].tolist()]
+            rows, n = distinct_rows([numbers[places + i] for i in range(length)], len(words))
+            phrase = pc.binary_join_element_wise(*[spelled.take(pa.array(c)) for c in rows], _SPACE)
+            keys.append(pc.binary_join_element_wise(pa.scalar(lang.encode()), phrase, _BREAK))
+            counts.append(n)
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * len(texts), pa.string()),
-                _strings(texts),
-                pa.array(np.concatenate(sizes)),
-                pa.array(np.concatenate(counts).astype(np.int64)),
-            ],
-            names=["lang", "phrase", "words", "a"],
+            [pa.concat_arrays(keys), pa.array(np.concatenate(counts).astype(np.int64))], names=["key", "a"]
         )
 
-    rows = in_shards(docs, judge, "lang string, phrase string, words int, a long", shard_words)
-    counted = rows.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a"))
-    return counted.filter(F.col("a") >= support)
+    rows = in_shards(docs, judge, "key binary, a long", shard_words)
+    counted = rows.repartition("key").groupBy("key").agg(F.sum("a").alias("a")).filter(F.col("a") >= support)
+    # The phrase comes after the last break: it has none, whatever the language is called.
+    parts = counted.select(F.col("key").cast("string").alias("key"), "a").withColumn(
+        "phrase", F.substring_index("key", "\n", -1)
+    )
+    lang = F.expr("left(key, length(key) - length(phrase) - 1)")
+    return parts.select(lang.alias("lang"), "phrase", F.size(F.split("phrase", " ")).alias("words"), "a")
 
 
 def candidates(
     docs: DataFrame, support: int = SUPPORT, max_words: int = MAX_WORDS, shard_words: int = SHARD_WORDS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, phrase, words, a) of all candidates, (lang, phrase, a) of frequent words, (lang, n)."""
-    every = materialize(word_counts(docs, shard_words))
-    sizes = materialize(every.groupBy("lang").agg(F.sum("a").alias("n")))
+    counted = word_counts(docs, shard_words)
+    frequent = settled(counted.filter(F.col("phrase").isNull() | (F.col("a") >= support)))
+    sizes = frequent.filter(F.col("phrase").isNull()).select("lang", F.col("a").alias("n"))
     largest = sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     totals = {row["lang"]: row["n"] for row in largest}
-    words = every.filter(F.col("a") >= support)
-    sets = [Bitmap(words.select(F.xxhash64("lang", "phrase").alias("hash")))]
+    words = frequent.filter(F.col("phrase").isNotNull())
+    most = (sizes.agg(F.sum("n")).first()[0] or 0) // support + 1
+    sets = [Bitmap(words.select(F.xxhash64("lang", "phrase").alias("hash")), most)]
     for length in range(2, max_words + 1):
-        found = materialize(mined(docs, totals, sets, length, support, shard_words))
-        sets.append(Bitmap(found))
-    return materialize(phrase_counts(docs, sets, support, shard_words)), words, sizes
+        sets.append(Bitmap(mined(docs, totals, sets, length, support, shard_words), most))
+    return settled(phrase_counts(docs, sets, support, shard_words)), words, sizes
 
 
 def _part(start: int | str, length: int | str) -> str:
@@ -282,7 +306,7 @@ def _part(start: int | str, length: int | str) -> str:
 def scored(found: DataFrame, words: DataFrame) -> DataFrame:
     """Candidates with l, r and the score of their lowest-scoring cut."""
     # A part of a candidate occurs as often at least: it is a frequent word or a candidate.
-    parts = materialize(found.select("lang", "phrase", "a").union(words.select("lang", "phrase", "a")))
+    parts = settled(found.select("lang", "phrase", "a").union(words.select("lang", "phrase", "a")))
     known = small_or_shuffled(parts)
     cuts = (
         found.withColumn("parts", F.split("phrase", " "))

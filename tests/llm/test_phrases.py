@@ -60,7 +60,7 @@ def rows():
     rng = random.Random(4)
     words = [f"w{i}" for i in range(40)] + ["Of", "of", "ß", "été", "ÉTÉ", "\x0b", "x y", "-"]
     weights = [1 / (i + 1) for i in range(len(words))]
-    made = [(1, None, "en"), (2, "", "de"), (3, " .,;\t\n", None), (4, "A b. a B! a b", "en"), (5, "one two " * 3000, "fr")]
+    made = [(0, " ", "empty"), (1, None, "en"), (2, "", "de"), (3, " .,;\t\n", None), (4, "A b. a B! a b", "en"), (5, "one two " * 3000, "fr")]
     for i in range(150):
         own = rng.choices(words, weights, k=rng.randint(1, 80))
         for at in range(rng.randint(0, 6)):
@@ -102,11 +102,21 @@ def test_hashes_are_sparks(spark):
 def test_bitmap_holds_all(spark):
     hashes = spark.range(5000).select(F.xxhash64("id").alias("hash"))
     known = np.array([r[0] for r in hashes.collect()]).view(np.uint64)
-    bitmap = phrases.Bitmap(hashes, 16)
+    bitmap = phrases.Bitmap(hashes, 5000)
     others = np.random.default_rng(0).integers(0, 1 << 63, 10000).astype(np.uint64)
     assert bitmap.holds(known).all() and bitmap.holds(others).mean() < 0.1
-    assert not phrases.Bitmap(hashes.limit(0)).holds(known).any()
+    assert not phrases.Bitmap(hashes.limit(0), 0).holds(known).any()
 
 
 def test_empty(spark):
     assert phrases.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("most", [50, 1 << 30])
+def test_distinct_rows(most):
+    rng = np.random.default_rng(3)
+    columns = [rng.integers(0, 50, 2000).astype(np.int32) for _ in range(3)]
+    rows, counts = phrases.distinct_rows(columns, most)
+    got = dict(zip(zip(*(c.tolist() for c in rows)), counts.tolist()))
+    assert got == Counter(zip(*(c.tolist() for c in columns)))
+    assert len(phrases.distinct_rows([c[:0] for c in columns], most)[1]) == 0
