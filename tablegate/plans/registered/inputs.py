@@ -18,6 +18,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def by_user(events: DataFrame) -> DataFrame:
+    """The events with their user as entity, so that entities grow with the data."""
+    return events.withColumn("event_type", F.col("user_id").cast("string"))
+
+
+BY_USER = "(SELECT * REPLACE (CAST(user_id AS VARCHAR) AS event_type) FROM events)"
+
+
 def prop_k() -> Column:
     """The one number in ``props``."""
     return F.get_json_object("props", "$.k").cast("int")
