@@ -12,7 +12,7 @@ from tablegate.plans.marts import agg_weather_daily
 from tablegate.plans.registered import Query
 from tablegate.plans.registered.contracts import events_by_day
 from tablegate.plans.registered.inputs import table
-from tablegate.plans.registered.rollups import TYPE_FACT_SQL, fact_by_type
+from tablegate.plans.registered.rollups import TYPE_FACT_SQL, USER_FACT_SQL, fact_by_type, fact_by_user
 from tablegate.session import scratch_path
 
 TYPES = ["click", "view", "purchase", "signup"]
@@ -68,12 +68,12 @@ def _stale_daily(hourly):
 
 
 def reconcile(spark, folder):
-    hourly = fact_by_type(spark, folder)
+    hourly = fact_by_user(spark, folder)
     return checks.check_reconcile(hourly, _stale_daily(hourly), ["city_id", "observation_date"])
 
 
 def completeness(spark, folder):
-    found = checks.check_completeness(agg_weather_daily(fact_by_type(spark, folder)))
+    found = checks.check_completeness(agg_weather_daily(fact_by_user(spark, folder)))
     return found.select("city_id", "observation_date", "hours_observed", "missing_hours")
 
 
@@ -155,12 +155,10 @@ _SUMMARY_SQL = f"""
            CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status
     FROM counts
 """
-_HOURS_SQL = (
-    TYPE_FACT_SQL
-    + """,
+_DAILY_HOURS_SQL = """,
     daily AS (SELECT city_id, observation_date, count(*) AS hours_observed FROM fact GROUP BY ALL)
 """
-)
+_HOURS_SQL, _USER_HOURS_SQL = TYPE_FACT_SQL + _DAILY_HOURS_SQL, USER_FACT_SQL + _DAILY_HOURS_SQL
 
 QUERIES = {
     "check_unique": Query(
@@ -190,7 +188,7 @@ QUERIES = {
     ),
     "check_reconcile": Query(
         reconcile,
-        TYPE_FACT_SQL
+        USER_FACT_SQL
         + """
         SELECT * FROM (
             SELECT city_id, observation_date, count(*) AS fact_rows,
@@ -202,7 +200,7 @@ QUERIES = {
     ),
     "check_completeness": Query(
         completeness,
-        _HOURS_SQL
+        _USER_HOURS_SQL
         + """
         SELECT city_id, observation_date, hours_observed, 24 - hours_observed AS missing_hours
         FROM daily

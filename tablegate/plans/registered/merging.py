@@ -12,13 +12,15 @@ from tablegate.operators.dedupe import dedupe_latest
 from tablegate.operators.incremental import (
     clamp_window,
     restatement_filter,
+    stored_cutoff,
     work_units,
 )
-from tablegate.operators.merge import merge_counts, merge_rows, upsert
+from tablegate.operators.merge import incremental_merge, merge_counts, merge_rows, upsert
 from tablegate.plans.registered import Query
 from tablegate.plans.registered.contracts import events_by_day
-from tablegate.plans.registered.inputs import table, weather_payloads
+from tablegate.plans.registered.inputs import BY_USER, by_user, table, weather_payloads
 from tablegate.session import scratch_path
+from tablegate.sources.publish import read_table, replace_partitions, schema_history
 
 KEYS = ["o_orderkey"]
 ROW = ["o_orderkey", "o_orderstatus", "price", "month", "hash"]
@@ -90,6 +92,36 @@ def upsert_table(spark, folder):
     return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "price", "month")
 
 
+def upsert_observed(spark, folder):
+    """Two merges of a mart, counted by the jobs that write them."""
+    path = scratch_path(spark, "orders")
+    batches = [_target(spark, folder), _source(spark, folder)]
+    rows = []
+    for number, batch in enumerate(batches, 1):
+        counts = incremental_merge(spark, path, batch, KEYS, "month")
+        rows.append((number, *(counts[f"rows_{name}"] for name in ("inserted", "updated", "kept"))))
+    names = "attempt int, rows_inserted long, rows_updated long, rows_kept long"
+    return spark.createDataFrame(rows, names)
+
+
+def schema_evolution(spark, folder):
+    """A mart whose second run adds a column, read by its schema file."""
+    path = scratch_path(spark, "orders")
+    incremental_merge(spark, path, _target(spark, folder), KEYS, "month")
+    source = _source(spark, folder).withColumn("cents", F.round(F.col("price") * 100).cast("long"))
+    incremental_merge(spark, path, source, KEYS, "month")
+    versions = len(schema_history(spark, path))
+    return read_table(spark, path).select("o_orderkey", "price", "month", "cents", F.lit(versions).alias("versions"))
+
+
+def stored_window(spark, folder):
+    """The restatement window of a stored mart: its newest day is a folder name."""
+    path = scratch_path(spark, "days")
+    events = events_by_day(spark, folder).select("event_id", "day", "value")
+    replace_partitions(events.filter(F.col("day") <= F.lit(date(2024, 1, 20))), path, ["day"])
+    return events.filter(F.col("day") >= F.lit(stored_cutoff(spark, path, "day")))
+
+
 def restatement_window(spark, folder):
     events = events_by_day(spark, folder).select("event_id", "day", "value")
     loaded = events.filter(F.col("day") <= F.lit(date(2024, 1, 20)))
@@ -108,7 +140,7 @@ def planned_units(spark, folder):
 
 def _payload_units(spark, folder):
     """Units with the hash of their payload now, and as loaded up to noon of the 15th."""
-    events = table(spark, folder, "events")
+    events = by_user(table(spark, folder, "events"))
     unit = ["city_id", "observation_date"]
 
     def hashed(rows):
@@ -153,11 +185,11 @@ _MERGED_SQL = f"""
                     WHEN t.hash = s.hash THEN 'unchanged' ELSE 'update' END AS action
         FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey)
 """
-_STATE_SQL = """
+_STATE_SQL = f"""
     WITH units AS (
         SELECT event_type AS city_id, CAST(ts AS DATE) AS observation_date,
                max(ts) < TIMESTAMP '2024-01-15 12:00:00' AS already_loaded
-        FROM events GROUP BY ALL)
+        FROM {BY_USER} GROUP BY ALL)
 """
 
 QUERIES = {
@@ -198,6 +230,35 @@ QUERIES = {
     "upsert_table": Query(
         upsert_table, _MERGED_SQL + "SELECT o_orderkey, o_orderstatus, price, month FROM merged"
     ),
+    "upsert_observed": Query(
+        upsert_observed,
+        _MERGED_SQL
+        + """
+        SELECT 1 AS attempt, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+               CAST(0 AS BIGINT) AS rows_kept FROM t
+        UNION ALL
+        SELECT 2, count(*) FILTER (WHERE action = 'insert'),
+               count(*) FILTER (WHERE action IN ('update', 'unchanged')),
+               count(*) FILTER (WHERE action = 'keep' AND month IN (SELECT month FROM s)) FROM merged
+        """,
+    ),
+    "schema_evolution": Query(
+        schema_evolution,
+        _MERGED_SQL
+        + """
+        SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, coalesce(s.price, t.price) AS price,
+               coalesce(t.month, s.month) AS month, CAST(round(s.price * 100) AS BIGINT) AS cents, 2 AS versions
+        FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey
+        """,
+    ),
+    "stored_window": Query(
+        stored_window,
+        """
+        SELECT event_id, CAST(ts AS DATE) AS day, value FROM events
+        WHERE CAST(ts AS DATE) >= (
+            SELECT max(CAST(ts AS DATE)) - 7 FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20')
+        """,
+    ),
     "restatement_window": Query(
         restatement_window,
         """

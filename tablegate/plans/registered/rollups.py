@@ -23,6 +23,7 @@ from tablegate.plans.registered import Query
 from tablegate.plans.registered.inputs import (
     CITIES_SQL,
     STAGED_SQL,
+    by_user,
     customers_as_cities,
     event_types_as_cities,
     exact_avg_sql,
@@ -49,8 +50,14 @@ def fact_by_type(spark, folder):
     return fct_weather_hourly(stage_observations(raw(spark, folder, "event_type")), cities)
 
 
+def fact_by_user(spark, folder):
+    """The same with users as cities, so that entities grow with the data."""
+    cities = small(stage_cities(event_types_as_cities(by_user(table(spark, folder, "events")))))
+    return fct_weather_hourly(stage_observations(raw(spark, folder)), cities)
+
+
 def staged(spark, folder):
-    return stage_observations(raw(spark, folder, "event_type")).select(
+    return stage_observations(raw(spark, folder)).select(
         "city_id", "observed_at_utc", "observation_date", "temperature_c", "relative_humidity_pct",
         "precipitation_mm", "wind_speed_kmh", "weather_code", "ingested_at_utc",
     )
@@ -68,8 +75,8 @@ def daily(spark, folder):
     return agg_weather_daily(fact(spark, folder)).drop("dbt_updated_at")
 
 
-def daily_by_type(spark, folder):
-    return agg_weather_daily(fact_by_type(spark, folder)).drop("dbt_updated_at")
+def daily_of_all(spark, folder):
+    return agg_weather_daily(fact_by_user(spark, folder)).drop("dbt_updated_at")
 
 
 def size_band(spark, folder):
@@ -97,7 +104,7 @@ def dim_coverage(spark, folder):
 
 def _early(spark, folder):
     """The daily aggregate as of noon of the 20th, and all readings."""
-    hourly = fact_by_type(spark, folder)
+    hourly = fact_by_user(spark, folder)
     before = F.col("observed_at_utc") < F.lit("2024-01-20 12:00:00").cast("timestamp_ntz")
     return agg_weather_daily(hourly.filter(before)).drop("dbt_updated_at"), hourly
 
@@ -128,12 +135,16 @@ FACT_SQL = f"""
                s.precipitation_mm > 0 AS is_wet_hour, s.temperature_c < 0 AS is_freezing_hour
         FROM staged s JOIN cities c ON s.city_id = c.city_id)
 """
-TYPE_FACT_SQL = f"""
+def _entity_fact_sql(entity):
+    return f"""
     WITH fact AS (
         SELECT *, upper(city_id[1]) || city_id[2:] AS city_name, upper(city_id[1:2]) AS country_code,
                precipitation_mm > 0 AS is_wet_hour, temperature_c < 0 AS is_freezing_hour
-        FROM ({STAGED_SQL.format(entity="event_type", source="events")}))
+        FROM ({STAGED_SQL.format(entity=entity, source="events")}))
 """
+
+
+TYPE_FACT_SQL, USER_FACT_SQL = _entity_fact_sql("event_type"), _entity_fact_sql("user_id")
 DAILY_SQL = f"""
     SELECT city_id, observation_date, any_value(city_name) AS city_name,
            any_value(country_code) AS country_code, count(*) AS hours_observed,
@@ -151,7 +162,7 @@ DAILY_SQL = f"""
 """
 
 QUERIES = {
-    "stage_observations": Query(staged, STAGED_SQL.format(entity="event_type", source="events")),
+    "stage_observations": Query(staged, STAGED_SQL.format(entity="user_id", source="events")),
     "stage_cities": Query(
         lambda spark, folder: stage_cities(customers_as_cities(spark, folder)), CITIES_SQL
     ),
@@ -165,7 +176,7 @@ QUERIES = {
         FROM fact
         """,
     ),
-    "daily_rollup": Query(daily_by_type, TYPE_FACT_SQL + DAILY_SQL),
+    "daily_rollup": Query(daily_of_all, USER_FACT_SQL + DAILY_SQL),
     "daily_rollup_by_user": Query(daily, FACT_SQL + DAILY_SQL),
     "size_band": Query(
         size_band,
@@ -199,6 +210,6 @@ QUERIES = {
         GROUP BY ALL
         """,
     ),
-    "incremental_merge": Query(incremental, TYPE_FACT_SQL + DAILY_SQL),
-    "incremental_merge_stored": Query(stored_incremental, TYPE_FACT_SQL + DAILY_SQL),
+    "incremental_merge": Query(incremental, USER_FACT_SQL + DAILY_SQL),
+    "incremental_merge_stored": Query(stored_incremental, USER_FACT_SQL + DAILY_SQL),
 }

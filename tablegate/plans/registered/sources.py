@@ -13,7 +13,9 @@ from tablegate.operators.validate import split_valid
 from tablegate.plans.registered import Query
 from tablegate.plans.registered.contracts import EVENT, UNIT, events_by_day
 from tablegate.plans.registered.inputs import (
+    BY_USER,
     READINGS_SQL,
+    by_user,
     customers_as_cities,
     prop_k,
     readings,
@@ -22,7 +24,7 @@ from tablegate.plans.registered.inputs import (
 )
 from tablegate.session import scratch_path
 from tablegate.sources.catalogue import Bound, out_of_bounds, read_catalogue
-from tablegate.sources.landing import land, landed_hashes, read_landed
+from tablegate.sources.landing import land, land_units, landed_hashes, read_landed
 from tablegate.sources.payloads import (
     classify_responses,
     flatten_series,
@@ -50,7 +52,7 @@ def _typed(parsed):
 
 
 def flatten(spark, folder):
-    return _typed(with_series(weather_payloads(table(spark, folder, "events")), SERIES, "city_id"))
+    return _typed(with_series(weather_payloads(by_user(table(spark, folder, "events"))), SERIES, "city_id"))
 
 
 def payload_files(spark, folder):
@@ -63,7 +65,7 @@ def payload_files(spark, folder):
 
 def ragged(spark, folder):
     """All 24 hours in ``time``, but values only for hours with a reading."""
-    rows = readings(table(spark, folder, "events"))
+    rows = readings(by_user(table(spark, folder, "events")))
     units = rows.groupBy("event_type", "day").agg(
         F.sort_array(F.collect_list(F.struct("hour", "value"))).alias("h")  # at most 24
     )
@@ -86,7 +88,7 @@ def ragged(spark, folder):
 def new_series(spark, folder):
     """Series in the payload that only ``wind_speed_10m`` is read from."""
     parsed = with_series(
-        weather_payloads(table(spark, folder, "events")), {"value": "wind_speed_10m"}, "city_id"
+        weather_payloads(by_user(table(spark, folder, "events"))), {"value": "wind_speed_10m"}, "city_id"
     )
     found = unknown_series(parsed, {"value": "wind_speed_10m"}, ["city_id"])
     return found.groupBy("city_id", "field").agg(F.count(F.lit(1)).alias("units"))
@@ -174,6 +176,37 @@ def hashes(spark, folder):
     )
 
 
+def _bucketed(spark, folder):
+    """The same landings for (day, user) units, which share folders by bucket."""
+    path = scratch_path(spark, "landing")
+    events = by_user(table(spark, folder, "events")).withColumn("day", F.to_date("ts"))
+    rows = events.select("event_id", "value", "day", "event_type")
+    first = rows.filter(F.col("day") <= F.lit("2024-01-20").cast("date"))
+    again = rows.filter((F.col("day") >= F.lit("2024-01-15").cast("date")) & (F.col("event_id") % 2 == 0))
+    for name, batch in (("first", first), ("again", again)):
+        units = batch.select("day", "event_type").distinct()
+        land_units(batch.withColumn("_source_payload_hash", F.lit(name)), path, ["day", "event_type"], units, buckets=4)
+    return read_landed(spark, path, _LANDED)
+
+
+def land_shared(spark, folder):
+    return _bucketed(spark, folder).select("event_id", "event_type", "day", "_source_payload_hash")
+
+
+def shared_folders(spark, folder):
+    """Folders per day: as many as buckets have rows, whatever the number of users."""
+    path = scratch_path(spark, "landing")
+    events = by_user(table(spark, folder, "events")).withColumn("day", F.to_date("ts"))
+    rows = events.select("event_id", "value", "day", "event_type")
+    units = rows.select("day", "event_type").distinct()
+    land_units(rows, path, ["day", "event_type"], units, buckets=1)
+    landed = spark.read.schema(_LANDED).parquet(path)
+    file = F.col("_metadata.file_path")
+    return landed.select("day", F.regexp_replace(file, "/[^/]*$", "").alias("place")).groupBy("day").agg(
+        F.count_distinct("place").alias("folders"), F.count(F.lit(1)).alias("rows")
+    )
+
+
 def quarantine_roundtrip(spark, folder):
     """Rejected events go out as JSON lines and come back."""
     path = scratch_path(spark, "quarantine")
@@ -216,30 +249,33 @@ def versions(spark, folder):
     )
 
 
-_FLAT_SQL = f"""
+def _flat_sql(source):
+    return f"""
     SELECT event_type AS city_id, strftime(hour, '%Y-%m-%dT%H:%M') AS observed_at, value, k
-    FROM ({READINGS_SQL.format(source="events")})
+    FROM ({READINGS_SQL.format(source=source)})
 """
+
+
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 
 QUERIES = {
-    "flatten_series": Query(flatten, _FLAT_SQL),
-    "payload_files": Query(payload_files, _FLAT_SQL),
+    "flatten_series": Query(flatten, _flat_sql(BY_USER)),
+    "payload_files": Query(payload_files, _flat_sql("events")),
     "ragged_units": Query(
         ragged,
         f"""
         SELECT event_type, day,
                event_type || ': series ''value'' holds ' || count(*) || ' values for 24 times'
                    AS problem
-        FROM ({READINGS_SQL.format(source="events")})
+        FROM ({READINGS_SQL.format(source=BY_USER)})
         GROUP BY event_type, day HAVING count(*) <> 24
         """,
     ),
     "unknown_series": Query(
         new_series,
-        """
+        f"""
         SELECT event_type AS city_id, field, count(DISTINCT CAST(ts AS DATE)) AS units
-        FROM events, (SELECT unnest(['temperature_2m', 'relative_humidity_2m', 'precipitation',
+        FROM {BY_USER}, (SELECT unnest(['temperature_2m', 'relative_humidity_2m', 'precipitation',
                                      'weather_code']) AS field)
         GROUP BY ALL
         """,
@@ -323,6 +359,24 @@ QUERIES = {
         FROM events
         """,
     ),
+    "land_units": Query(
+        land_shared,
+        f"""
+        WITH rows AS (SELECT event_id, event_type, CAST(ts AS DATE) AS day FROM {BY_USER}),
+        again AS (SELECT * FROM rows WHERE day >= DATE '2024-01-15' AND event_id % 2 = 0)
+        SELECT *, 'again' AS _source_payload_hash FROM again
+        UNION ALL
+        SELECT *, 'first' FROM rows r WHERE day <= DATE '2024-01-20' AND NOT EXISTS (
+            SELECT 1 FROM again a WHERE a.day = r.day AND a.event_type = r.event_type)
+        """,
+    ),
+    "land_folders": Query(
+        shared_folders,
+        """
+        SELECT CAST(ts AS DATE) AS day, CAST(1 AS BIGINT) AS folders, count(*) AS rows
+        FROM events GROUP BY CAST(ts AS DATE)
+        """,
+    ),
     "quarantine_roundtrip": Query(
         quarantine_roundtrip,
         """
