@@ -14,12 +14,12 @@ from tablegate.llm import (
     links,
     mixing,
     ngram,
+    passages,
     periodic,
     phrases,
     pivots,
     quality,
     simhash,
-    substrings,
     tokens,
 )
 from tablegate.llm.common import text_of, words_of
@@ -65,8 +65,8 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every span that repeats an earlier line, with its offsets."""
-    return substrings.repeated_spans(_table(spark, folder, "documents"))
+    """Every span of 50 words or more that repeats an earlier passage, with its offsets."""
+    return passages.repeated_passages(_table(spark, folder, "documents"))
 
 
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,20 +247,32 @@ SQL: dict[str, str] = {
         FROM counted
     """,
     "op4_substring_dedup": f"""
-        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS lines FROM documents),
-        every AS (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs),
+        WITH docs AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+        named AS (SELECT row_number() OVER () AS r, * FROM docs),
+        cut AS (SELECT r, doc_id, regexp_extract_all(text, {_WORD}) AS words,
+                       regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+') AS parts FROM named),
+        every AS (SELECT r, doc_id, words, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word, unnest(parts) AS part
+                  FROM cut WHERE len(words) >= 50),
+        placed AS (
+            SELECT *, sum(length(part)) OVER o AS end_at, lag(word) OVER o AS before
+            FROM every WINDOW o AS (PARTITION BY r ORDER BY i)),
         units AS (
-            SELECT doc_id, i - 1 AS unit_no, length(lines[i]) AS size,
-                   sum(length(lines[i]) + 1) OVER (PARTITION BY r ORDER BY i) - length(lines[i]) - 1 AS begin_at,
-                   regexp_extract_all(translate(lines[i], {_UPPER}, {_LOWER}), {_WORD}) AS w
-            FROM every),
+            SELECT u.r, u.doc_id, u.i - 1 AS word, u.end_at - length(u.word) AS begin_at, e.end_at,
+                   list_transform(u.words[u.i:u.i + 49], lambda x: translate(x, {_UPPER}, {_LOWER})) AS w
+            FROM placed u JOIN placed e ON e.r = u.r AND e.i = u.i + 49
+            WHERE u.before IS NULL OR regexp_matches(u.before, '[.!?]$')
+               OR contains(u.part[:length(u.part) - length(u.word)], chr(10))),
         ranked AS (
-            SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(unit_no) OVER o AS first_unit_no
-            FROM units WHERE len(w) >= 5
-            WINDOW o AS (PARTITION BY w ORDER BY doc_id NULLS FIRST, unit_no))
-        SELECT doc_id, unit_no, CAST(begin_at AS BIGINT) AS "begin", CAST(begin_at + size AS BIGINT) AS "end",
-               CAST(len(w) AS BIGINT) AS n_words, first_doc_id, first_unit_no
-        FROM ranked WHERE doc_id IS DISTINCT FROM first_doc_id OR unit_no <> first_unit_no
+            SELECT *, first_value(doc_id) OVER o AS first_doc_id, first_value(word) OVER o AS first_word
+            FROM units WINDOW o AS (PARTITION BY w ORDER BY doc_id NULLS FIRST, word)),
+        later AS (SELECT * FROM ranked WHERE doc_id IS DISTINCT FROM first_doc_id OR word <> first_word),
+        marked AS (
+            SELECT *, CASE WHEN word <= max(word + 50) OVER (PARTITION BY r ORDER BY word
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM later),
+        spans AS (SELECT *, sum(opens) OVER (PARTITION BY r ORDER BY word) AS span FROM marked)
+        SELECT any_value(doc_id) AS doc_id, CAST(min(begin_at) AS BIGINT) AS "begin", CAST(max(end_at) AS BIGINT) AS "end",
+               CAST(max(word) + 50 - min(word) AS BIGINT) AS n_words, arg_min(first_doc_id, word) AS first_doc_id
+        FROM spans GROUP BY r, span
     """,
     "op11_collocations": f"""
         WITH pieces AS (
