@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablegate.llm import decontaminate, lines, mixing, quality, simhash
-from tablegate.session import scratch_path
+from tablegate.session import _remove, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,10 +51,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents after all stages; each stage's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents after all stages; each stage's result is written and read again.
+
+    A stage's result is dropped when the next one is written, also when that fails; the last
+    one stays, as it is what is returned.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        try:
+            stage(spark, docs, sf_dir).write.parquet(path)
+        finally:
+            if before is not None:
+                _remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
