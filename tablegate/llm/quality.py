@@ -1,7 +1,7 @@
 """Quality rules: per-document counts, and lines that too many documents of a host share.
 
 Defined cases: a null text is the empty text; a null host is a host of its own;
-rows that repeat a (doc_id, text) count as one document and get equal results; an
+rows that repeat a text count as one document of their host and get equal results; an
 empty table gives an empty result. The input's columns travel inside one struct
 column ``row``, so that further columns are kept and no name can clash.
 """
@@ -19,14 +19,14 @@ from tablegate.llm.common import (
     with_text,
     words_of,
 )
+from tablegate.operators.once import computed_once
 from tablegate.session import materialize
 
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# A line is removed when more documents of its host have it than both limits.
-MIN_DOCUMENTS = 20
-MAX_DOCUMENT_PERCENT = 10
+# A line is removed when more documents of its host have it.
+MAX_DOCUMENTS = 20
 # A document is depleted when less than this share of its words is left.
 MIN_WORDS_LEFT_PERCENT = 50
 
@@ -46,60 +46,57 @@ def _with_word(lines: Column) -> Column:
     return F.filter(lines, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
 
-def line_limits(
-    docs: DataFrame,
-    host: str = "source",
-    min_documents: int = MIN_DOCUMENTS,
-    max_percent: int = MAX_DOCUMENT_PERCENT,
-) -> DataFrame:
-    """(host, hashes): the lines of each host that are over its limits.
+def _contents(text: Column) -> list[Column]:
+    """Two hashes that name a text."""
+    return [F.xxhash64(text).alias("content"), F.xxhash64(F.lit(1), text).alias("content2")]
+
+
+def _document_lines(docs: DataFrame, host: str) -> DataFrame:
+    """(host, content, content2, line): the distinct lines of each document, by hash."""
+    text = text_of()
+    lines = F.explode(F.array_distinct(_line_hashes(text))).alias("line")
+    rows = docs.select(F.col(host).alias("host"), *_contents(text), lines)
+    return rows.filter(F.col("line") != F.xxhash64(F.lit("")))
+
+
+def line_limits(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """(host, line): the lines that more documents of their host have than the limit.
 
-    A host's array is bounded: with k distinct lines in its average document, fewer
-    than 100 k / max_percent lines can be in more than max_percent % of them.
+    The limit is a number, so a host of any size loses its boilerplate. Exact copies of a
+    text are one document: a page that was fetched often is no boilerplate.
     """
-    rows = docs.select(
-        F.col(host).alias("host"),
-        F.col("doc_id").alias("doc"),
-        F.xxhash64(text_of()).alias("content"),
-        text_of().alias("text"),
-    )
-    lines = rows.select(
-        "host",
-        "doc",
-        "content",
-        F.explode(F.array_distinct(_line_hashes(F.col("text")))).alias("line"),
-    ).filter(F.col("line") != F.xxhash64(F.lit("")))
-    counted = lines.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
-    sizes = rows.select("host", "doc", "content").distinct().groupBy("host").agg(
-        F.count(F.lit(1)).alias("host_documents")
-    )
-    # Only the few lines over the fixed limit meet the host sizes.
-    over = (
-        counted.filter(F.col("documents") > min_documents)
-        .withColumnRenamed("host", "line_host")
-        .join(sizes, F.col("line_host").eqNullSafe(F.col("host")))
-        .filter(F.col("documents") * 100 > F.col("host_documents") * max_percent)
-    )
-    return over.groupBy("host").agg(F.collect_list("line").alias("hashes"))
+    lines = _document_lines(docs, host).distinct()
+    counted = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents"))
+    return counted.filter(F.col("documents") > max_documents).select("host", "line")
 
 
 def without_frequent_lines(
-    docs: DataFrame,
-    host: str = "source",
-    min_documents: int = MIN_DOCUMENTS,
-    max_percent: int = MAX_DOCUMENT_PERCENT,
+    docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS
 ) -> DataFrame:
-    """(row, clean_text, lines_removed): the texts without the lines over the limits.
+    """(row, clean_text, lines_removed): the texts without the lines over the limit.
 
-    The texts are not shuffled while those lines fit a measured broadcast.
+    The frequent (host, line) rows meet the documents' lines, and what a text loses meets its
+    documents. Both are broadcast while their measured size allows it, so that texts are
+    shuffled only beyond that, in a join that splits hot texts.
     """
-    frequent = materialize(line_limits(docs, host, min_documents, max_percent)).select(
-        F.col("host").alias("frequent_host"), F.col("hashes").alias("frequent_lines")
+    frequent = materialize(line_limits(docs, host, max_documents)).select(
+        F.col("host").alias("frequent_host"), F.col("line").alias("frequent_line")
     )
-    joined = packed(docs).join(
-        small_or_shuffled(frequent), F.col(f"row.{host}").eqNullSafe(F.col("frequent_host")), "left"
+    lines = _document_lines(docs, host)
+    hit = F.col("host").eqNullSafe(F.col("frequent_host")) & (F.col("line") == F.col("frequent_line"))
+    hits = lines.join(small_or_shuffled(frequent), hit).groupBy(
+        F.col("host").alias("lost_host"), F.col("content").alias("lost"), F.col("content2").alias("lost2")
     )
+    # At most the distinct lines of one text; copies of it add none.
+    lost = materialize(hits.agg(F.collect_set("line").alias("frequent_lines")))
     text = text_of("row.text")
+    names = packed(docs).select("row", *_contents(text))
+    own = (
+        F.col(f"row.{host}").eqNullSafe(F.col("lost_host"))
+        & (F.col("content") == F.col("lost"))
+        & (F.col("content2") == F.col("lost2"))
+    )
+    joined = names.join(small_or_shuffled(lost), own, "left").select("row", "frequent_lines")
     lines = _lines(text)
     stay = F.filter(
         F.arrays_zip(lines.alias("line"), _line_hashes(text).alias("hash")),
@@ -180,6 +177,8 @@ def quality(docs: DataFrame, host: str = "source") -> DataFrame:
 
 def passing(docs: DataFrame, host: str = "source") -> DataFrame:
     """The kept documents, without the lines over the limits."""
+    # The filter must not pass the counts, or they would be computed for each mention of them.
+    judged = computed_once(quality(docs, host), {"stays": F.col("kept")}).filter("stays")
     changed = with_text(docs, F.col("row"), F.col("clean_text"))
     row = F.when(F.col("lines_removed") == 0, F.col("row")).otherwise(changed)
-    return quality(docs, host).filter("kept").select(row.alias("row")).select("row.*")
+    return judged.select(row.alias("row")).select("row.*")

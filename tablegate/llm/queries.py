@@ -221,11 +221,8 @@ SQL: dict[str, str] = {
         every AS (SELECT r, doc_id, source, text, unnest(lines) AS line FROM parts),
         normal AS (SELECT r, doc_id, source, text, line,
                           trim(lower(line), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS norm FROM every),
-        hosts AS (SELECT source, count(DISTINCT (doc_id, text)) AS m FROM docs GROUP BY source),
-        frequent AS (SELECT n.source, norm FROM normal n JOIN hosts h ON n.source IS NOT DISTINCT FROM h.source
-                     WHERE norm <> '' GROUP BY n.source, norm, m
-                     HAVING count(DISTINCT (doc_id, text)) > 20
-                        AND count(DISTINCT (doc_id, text)) * 100 > m * 10),
+        frequent AS (SELECT source, norm FROM normal WHERE norm <> '' GROUP BY source, norm
+                     HAVING count(DISTINCT text) > 20),
         removed AS (SELECT r, count(*) AS n, sum(len(regexp_extract_all(line, {_WORD}))) AS words
                     FROM normal n JOIN frequent f ON n.source IS NOT DISTINCT FROM f.source AND n.norm = f.norm
                     GROUP BY r),
