@@ -31,16 +31,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.common import packed, small_or_shuffled, with_text, words_of
+from tablegate.llm.common import packed, short_lived_shuffles, small_or_shuffled, with_text, words_of
 from tablegate.llm.runs import BLOCK_ROWS, in_units, index_pairs, key_sizes, runs
 from tablegate.session import materialize, staged
 
 THRESHOLD = Fraction(4, 5)
 FREQUENT = 1 << 16
 # Word keys a worker keeps at a time.
-CACHED = 1 << 19
+CACHED = 1 << 18
 # A sketch has 64 bits for every so many words, in powers of four.
 WORDS_PER_SKETCH = 96
+# Partners of a line in a unit that are verified first; others only if all of these fail.
+PARTNERS = 8
 NULL_DOC = -(1 << 63)
 
 ID = ["doc", "line_no", "digest"]
@@ -240,8 +242,8 @@ class Sketches:
 def candidates(units: DataFrame, threshold: Fraction, every: bool) -> DataFrame:
     """(x's ID, y's ID, more): pairs of lines that pass the filters, y before x.
 
-    With ``every`` all pairs whose x is open; else the first y for each x and unit, and
-    ``more`` if there are others.
+    With ``every`` all pairs whose x is open; else the first PARTNERS y for each x and unit,
+    and ``more`` if there are others.
     """
     names = units.columns
     up, down = threshold.numerator, threshold.denominator
@@ -273,9 +275,10 @@ def candidates(units: DataFrame, threshold: Fraction, every: bool) -> DataFrame:
             if not every and len(x):
                 order = np.lexsort((rank[y], x))
                 x, y = x[order], y[order]
-                first = np.concatenate([[True], x[1:] != x[:-1]])
-                several = np.diff(np.concatenate([np.flatnonzero(first), [len(x)]])) > 1
-                x, y, more = x[first], y[first], several
+                starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+                sizes = np.diff(np.concatenate([starts, [len(x)]]))
+                first = np.arange(len(x)) - np.repeat(starts, sizes) < PARTNERS
+                x, y, more = x[first], y[first], np.repeat(sizes > PARTNERS, sizes)[first]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[c][side]) for side in (x, y) for c in ID] + [pa.array(more)],
                 names=[*out, "more"],
@@ -344,7 +347,7 @@ def similar_lines(docs: DataFrame, sets: DataFrame, threshold: Fraction, total_w
         hot = counts.filter(F.col("n") > BLOCK_ROWS)
     pairs = materialize(candidates(in_units(postings, BLOCK_ROWS, hot), threshold, every=False))
     similar = materialize(verified(docs, pairs, threshold))
-    # Lines whose first partner failed and who have others: look at all of those.
+    # Lines whose first partners all failed and who have others: look at all of those.
     rest = (
         pairs.filter("more")
         .select(*[F.col(f"x_{c}").alias(c) for c in ID])
@@ -367,6 +370,11 @@ def similar_lines(docs: DataFrame, sets: DataFrame, threshold: Fraction, total_w
 
 def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     """(doc, numbers, digests): for each doc_id the lines to remove."""
+    with short_lived_shuffles(docs.sparkSession):
+        return _removed_lines(docs, threshold)
+
+
+def _removed_lines(docs: DataFrame, threshold: Fraction) -> DataFrame:
     spark = docs.sparkSession
     table, total = frequent_words(docs)
     frequent = spark.sparkContext.broadcast(table)

@@ -18,7 +18,7 @@ from tablegate.session import materialize
 
 BLOCK_ROWS = 2048
 # Pairs that are held as arrays at a time.
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 18
 
 Test = Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], np.ndarray]
 
