@@ -33,8 +33,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablegate.llm.common import short_lived_shuffles
 from tablegate.llm.language import fold_of
-from tablegate.llm.store import open_array, write_array
+from tablegate.llm.store import Counts, open_array, write_array, write_counts
 from tablegate.session import _remove, materialize, scratch_path
 
 FOLDS = 10
@@ -57,6 +58,11 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+# Word ids that two of fit a code of 63 bits, and maps that a worker keeps open.
+MOST_WORDS = (1 << 31) - 1
+MOST_MAPS = 512
+
+
 def hash_of(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
@@ -75,6 +81,8 @@ class Model:
     # Numbers of bigram and trigram types with count 1 to 4, and of words with continuation 1 to 4.
     bigram_counts: tuple[int, ...] = (0, 0, 0, 0)
     trigram_counts: tuple[int, ...] = (0, 0, 0, 0)
+    # All trigram types, also those seen more often.
+    trigram_types: int = 0
     word_counts: tuple[int, ...] = (0, 0, 0, 0)
     types: int = 0
     many: int = 0
@@ -200,6 +208,8 @@ def count_words(training: DataFrame, folder: str) -> Model:
     total = sums.agg(
         F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens"), F.count(F.when(F.col("n") > 0, 1)).alias("words")
     ).first()
+    if total["rows"] > MOST_WORDS:
+        raise ValueError(f"{total['rows']} different words: two ids fit one code up to {MOST_WORDS}")
     bits = (total["rows"] // WORDS_PER_PART).bit_length()
     parts = 1 << bits
 
@@ -334,7 +344,7 @@ def count_bigrams(training: DataFrame, model: Model) -> Model:
             codes, counts = summed(*(np.concatenate(x) for x in zip(*unpacked)))
             stored = counts >= model.min_count
             write_array(model.folder, f"bigram-{shard}", codes[stored])
-            write_array(model.folder, f"bigram-count-{shard}", counts[stored])
+            write_counts(model.folder, f"bigram-count-{shard}", counts[stored])
             if model.order == 2:
                 yield statistics(codes, counts)
 
@@ -349,6 +359,7 @@ def count_bigrams(training: DataFrame, model: Model) -> Model:
         model,
         bigram_counts=tuple(numbers.get(-i, 0) for i in range(1, 5)),
         trigram_counts=tuple(numbers.get(-i, 0) for i in range(5, 9)),
+        trigram_types=numbers.get(-9, 0),
     ), FIELDS)
 
 
@@ -358,10 +369,12 @@ class Bigrams:
     def __init__(self, model: Model, vocabulary: Vocabulary):
         self.model, self.vocabulary = model, vocabulary
         self.counts = vocabulary.column("count", "<i8")
-        self.opened: dict[tuple[str, int], np.ndarray] = {}
+        self.opened: dict[tuple[str, int], np.ndarray | Counts] = {}
 
     def array(self, name: str, shard: int, kind: str = "<i8") -> np.ndarray:
         if (name, shard) not in self.opened:
+            if len(self.opened) >= MOST_MAPS:
+                self.opened.clear()
             self.opened[name, shard] = open_array(self.model.folder, f"{name}-{shard}", kind)
         return self.opened[name, shard]
 
@@ -377,12 +390,19 @@ class Bigrams:
             out[at[rows]] = place
         return shards, out
 
-    def take(self, name: str, shards: np.ndarray, places: np.ndarray, kind: str = "<i8") -> np.ndarray:
-        """An array's values at the places; 0 for -1."""
+    def counted(self, name: str, shard: int) -> Counts:
+        if (name, shard) not in self.opened:
+            if len(self.opened) >= MOST_MAPS:
+                self.opened.clear()
+            self.opened[name, shard] = Counts(self.model.folder, f"{name}-{shard}")
+        return self.opened[name, shard]
+
+    def take(self, name: str, shards: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The counts at the places; 0 for -1."""
         out = np.zeros(len(places), np.int64)
         at = np.flatnonzero(places >= 0)
         for shard, rows in grouped(shards[at]):
-            out[at[rows]] = self.array(name, shard, kind)[places[at[rows]]]
+            out[at[rows]] = self.counted(name, shard)[places[at[rows]]]
         return out
 
 
@@ -441,9 +461,8 @@ def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
         for key, columns in _groups(batches, "shard", ["block"]):
             unpacked = [unpack(b) for b in columns["block"]]
             codes, counts = summed(*(np.concatenate(x) for x in zip(*unpacked)))
-            kind = np.min_scalar_type(int(counts.max()))
             write_array(model.folder, f"trigram-{key}", codes)
-            write_array(model.folder, f"trigram-count-{key}", counts.astype(kind.newbyteorder("<")))
+            write_counts(model.folder, f"trigram-count-{key}", counts)
             place, word = codes >> 32, codes & 0xFFFFFFFF
             shard = key // SALTS
             left = bigrams.array("bigram", shard)[place] & 0xFFFFFFFF
@@ -455,7 +474,7 @@ def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
             # The first byte tells these from the statistics of what follows a bigram.
             first, starts = np.unique(place, return_index=True)
             follow = [pack(first, x) for x in kinds_of(counts, starts)]
-            summary = np.array([key, kind.itemsize, *numbers_of(counts)], "<i8").tobytes()
+            summary = np.array([key, *numbers_of(counts), len(counts)], "<i8").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([*keys.tolist(), shard, shard, shard, -1], pa.int64()),
@@ -474,19 +493,19 @@ def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
             if shard < 0:
                 rows = np.array([np.frombuffer(b, "<i8") for b in columns["block"]])
                 rows = rows[np.argsort(rows[:, 0])]
-                write_array(model.folder, "trigram-shards", rows[:, :2].astype("<i8"))
-                yield statistics(nothing, nothing, rows[:, 2:].sum(axis=0))
+                write_array(model.folder, "trigram-shards", rows[:, 0].astype("<i8"))
+                yield statistics(nothing, nothing, rows[:, 1:].sum(axis=0))
                 continue
             codes = open_array(model.folder, f"bigram-{shard}", "<i8")
-            counts = open_array(model.folder, f"bigram-count-{shard}", "<i8")
+            counts = Counts(model.folder, f"bigram-count-{shard}").all()
             sums = [np.zeros(len(codes), np.int64) for _ in range(4)]
             for block in columns["block"]:
                 number, (own, times) = block[0], unpack(block[1:])
                 sums[number][found_in(codes, own) if number == 0 else own] += times
             adjusted = np.where(codes >> 32 == begin, counts, sums[0])
-            write_array(model.folder, f"bigram-before-{shard}", adjusted.astype("<i8"))
+            write_counts(model.folder, f"bigram-before-{shard}", adjusted)
             for name, values in zip(("ones", "twos", "more"), sums[1:]):
-                write_array(model.folder, f"bigram-{name}-{shard}", values.astype("<u4"))
+                write_counts(model.folder, f"bigram-{name}-{shard}", values)
             yield statistics(np.asarray(codes), adjusted)
 
     blocks = training.mapInArrow(send, "shard long, block binary")
@@ -557,20 +576,22 @@ class Scorer:
         self.d1 = discounts(model.word_counts)
         self.d2 = discounts(model.bigram_counts)
         self.d3 = discounts(model.trigram_counts)
-        self.trigrams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.widths: dict[int, int] = {}
-        if any(model.trigram_counts):
-            self.widths = dict(open_array(model.folder, "trigram-shards", "<i8").reshape(-1, 2).tolist())
+        self.trigrams: dict[int, tuple[np.ndarray, Counts]] = {}
+        self.shards: set[int] = set()
+        if model.trigram_types:
+            self.shards = set(open_array(model.folder, "trigram-shards", "<i8").tolist())
 
     def trigram_counts(self, key: np.ndarray, codes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes), np.int64)
         for shard, rows in grouped(key):
-            if shard not in self.widths:
+            if shard not in self.shards:
                 continue
             if shard not in self.trigrams:
+                if len(self.trigrams) >= MOST_MAPS:
+                    self.trigrams.clear()
                 self.trigrams[shard] = (
                     open_array(self.model.folder, f"trigram-{shard}", "<i8"),
-                    open_array(self.model.folder, f"trigram-count-{shard}", f"<u{self.widths[shard]}"),
+                    Counts(self.model.folder, f"trigram-count-{shard}"),
                 )
             known, counts = self.trigrams[shard]
             place = found_in(known, codes[rows])
@@ -629,7 +650,7 @@ class Scorer:
         total = b.take("bigram-count", shard, place)
         d = self.d3
         spare = sum(
-            d[i] * b.take(f"bigram-{name}", shard, place, "<u4") for i, name in enumerate(("ones", "twos", "more"), 1)
+            d[i] * b.take(f"bigram-{name}", shard, place) for i, name in enumerate(("ones", "twos", "more"), 1)
         )
         count = np.zeros(len(at), np.int64)
         known = np.flatnonzero(word >= 0)
@@ -673,12 +694,14 @@ def trained_and_scored(
 ) -> DataFrame:
     """Scores of all texts under the model of those whose fold is not 0.
 
-    The model is dropped once the scores are kept.
+    The model is dropped once the scores are kept, or when a step fails.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", (fold_of(F.col("doc_id"), folds) == 0).alias("held_out"), "text")
     folder = scratch_path(spark, "ngram-model")
-    model = train(rows.filter("NOT held_out"), folder, min_count, order)
-    kept = materialize(scores(rows, model))
-    _remove(spark, folder)
-    return kept
+    try:
+        with short_lived_shuffles(spark):
+            model = train(rows.filter("NOT held_out"), folder, min_count, order)
+            return materialize(scores(rows, model))
+    finally:
+        _remove(spark, folder)

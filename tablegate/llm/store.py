@@ -51,3 +51,38 @@ def open_array(folder: str, name: str, kind: str) -> np.ndarray:
         copy.flush()
         size = copy.tell()
         return np.memmap(copy, kind, "r") if size else np.zeros(0, kind)
+
+
+# Counts are small but for a few: one byte each, and the others beside them.
+_MORE = 255
+
+
+def write_counts(folder: str, name: str, values: np.ndarray) -> None:
+    """Counts as bytes, with the places and values of those that need more."""
+    values = np.asarray(values, np.int64)
+    large = np.flatnonzero(values >= _MORE)
+    write_array(folder, name, np.minimum(values, _MORE).astype(np.uint8))
+    write_array(folder, f"{name}-large", np.stack([large, values[large]]).astype("<i8"))
+
+
+class Counts:
+    """Memory-mapped counts of :func:`write_counts`."""
+
+    def __init__(self, folder: str, name: str):
+        self.bytes = open_array(folder, name, "u1")
+        self.places, self.values = open_array(folder, f"{name}-large", "<i8").reshape(2, -1)
+
+    def __len__(self) -> int:
+        return len(self.bytes)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        out = self.bytes[at].astype(np.int64)
+        more = np.flatnonzero(out == _MORE)
+        if len(more):
+            out[more] = self.values[np.searchsorted(self.places, at[more])]
+        return out
+
+    def all(self) -> np.ndarray:
+        out = self.bytes.astype(np.int64)
+        out[self.places] = self.values
+        return out
