@@ -10,6 +10,8 @@ One writer at a time.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,28 +43,36 @@ def merge_rows(
     keys = list(keys)
     columns = target.columns + [c for c in source.columns if c not in target.columns]
     types = {f.name: f.dataType for f in [*source.schema, *target.schema]}
-    incoming = source.select([F.col(c).alias(f"__new_{c}") for c in source.columns])
+    # Aliases instead of new names: both joins of the source then read it by one shuffle.
+    def old(c: str):
+        return F.col(f"__old.`{c}`")
 
-    on = [target[k] == incoming[f"__new_{k}"] for k in keys]
-    hit = F.col(f"__new_{keys[0]}").isNotNull()
+    def new(c: str):
+        return F.col(f"__new.`{c}`")
+
+    on = reduce(and_, [old(k) == new(k) for k in keys])
+    hit = new(keys[0]).isNotNull()
     if guard is None:
         changed = hit
     else:
-        changed = hit & F.coalesce(F.col(guard) != F.col(f"__new_{guard}"), F.lit(False))
+        changed = hit & F.coalesce(old(guard) != new(guard), F.lit(False))
 
     def merged(c: str):
-        old = F.col(c) if c in target.columns else F.lit(None).cast(types[c])
+        before = old(c) if c in target.columns else F.lit(None).cast(types[c])
         if c not in source.columns or c in keys:
-            return old.alias(c)
-        return F.when(changed, F.col(f"__new_{c}").cast(types[c])).otherwise(old).alias(c)
+            return before.alias(c)
+        return F.when(changed, new(c).cast(types[c])).otherwise(before).alias(c)
 
     action = F.when(~hit, "keep").when(changed, "update").otherwise("unchanged")
-    present = target.join(incoming, on, "left").select(
+    present = target.alias("__old").join(source.alias("__new"), on, "left").select(
         *[merged(c) for c in columns], action.alias("_action")
     )
 
+    # Null keys match nothing. Set apart, they leave the other rows as the join above reads them.
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
     known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    absent = source.join(known, keys, "left_anti").select(
+    unmatched = source.filter(~keyless).join(known, keys, "left_anti")
+    absent = unmatched.unionByName(source.filter(keyless)).select(
         *[
             (F.col(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
             for c in columns
@@ -72,6 +82,11 @@ def merge_rows(
     return present.unionByName(absent)
 
 
+def _nothing(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A table without rows that Spark knows to be empty while planning: its joins fall away."""
+    return spark.range(0).limit(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 _COUNTS = {"inserted": "insert", "updated": "update", "unchanged": "unchanged", "kept": "keep"}
 
 
@@ -124,7 +139,7 @@ def upsert(
     recover(spark, path)
     target = read_table(spark, path, schema)
     if target is None:
-        target = spark.createDataFrame([], schema or source.schema)
+        target = _nothing(spark, schema or source.schema)
     touched = named_partitions(source.select(partition).distinct(), partition)
     if touched is None:
         return materialize(merge_counts(merge_rows(target.limit(0), source, keys, guard), group))
@@ -194,7 +209,7 @@ def incremental_merge(
         recover(spark, path)
         target = read_table(spark, path)
         if target is None:
-            target = spark.createDataFrame([], window.schema)
+            target = _nothing(spark, window.schema)
         touched = named_partitions(window.select(partition).distinct(), partition)
         if touched is None:
             return {f"rows_{name}": 0 for name in _COUNTS}

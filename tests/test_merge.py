@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
+from tablegate.operators import merge
 from tablegate.operators.dedupe import dedupe_latest
 from tablegate.operators.merge import incremental_merge, merge_counts, merge_rows, upsert
 from tablegate.session import read_if_exists
@@ -187,3 +188,29 @@ def test_repeated_source_keys_need_an_order(spark, tmp_path):
     rows = spark.createDataFrame([(1, D1, "a"), (1, D1, "b")], "k int, day date, v string")
     with pytest.raises(ValueError, match="repeats keys"):
         incremental_merge(spark, str(tmp_path / "mart"), rows, ["k"], "day")
+
+
+def test_first_load_needs_no_join(spark, tmp_path, monkeypatch):
+    """A target without rows is known to be empty while planning."""
+    seen, write = [], merge._write
+    monkeypatch.setattr(merge, "_write", lambda merged, *rest: (seen.append(plan(merged)), write(merged, *rest)))
+    path = str(tmp_path / "t")
+    incremental_merge(spark, path, frame(spark, (1, D1, "a", "x"), (None, D2, "b", "y")), ["k"], "day")
+    assert seen and "Join" not in seen[0] and read_if_exists(spark, path).count() == 2
+
+
+def test_both_joins_read_the_source_by_one_shuffle(spark, tmp_path):
+    rows = [(k, D1, f"v{k}", "h") for k in range(50)] + [(None, D1, "n", "h")]
+    tables = []
+    for name, part in (("a", rows[:30]), ("b", rows[10:])):
+        frame(spark, *part).write.parquet(str(tmp_path / name))
+        tables.append(spark.read.parquet(str(tmp_path / name)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_rows(*tables, ["k"])
+        actions = sorted(r["_action"] for r in merged.collect())
+        text = plan(merged)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert actions == ["insert"] * 21 + ["keep"] * 10 + ["update"] * 20
+    assert "ReusedExchange" in text.split("Initial Plan")[0]
