@@ -22,13 +22,12 @@ an empty result.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,18 +45,14 @@ WORDS_PER_PART = 8_000_000
 SALTS = 64
 # A context with more than this share of the tokens is salted.
 HOT_SHARE = 1 / 500
-# Tokens handled as arrays at a time.
+# Tokens handled as arrays at a time, and bytes of texts split at a time.
 TOKENS_AT_ONCE = 1 << 20
-CACHED = 1 << 19
+BYTES_AT_ONCE = 1 << 20
 
 # No word holds a line end, so these name the end token and the context before a text.
 END, BEGIN = b"\n", b"\n\n"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
 # Word ids that two of fit a code of 63 bits, and maps that a worker keeps open.
 MOST_WORDS = (1 << 31) - 1
 MOST_MAPS = 512
@@ -99,8 +94,17 @@ def discounts(counts: tuple[int, ...]) -> np.ndarray:
     return np.clip(d, 0.0, [0, 1, 2, 3])
 
 
+@dataclass(frozen=True)
+class Tokens:
+    """The tokens of some texts, an END after each, as places in the list of their words."""
+
+    words: list[bytes]
+    index: np.ndarray
+    lengths: np.ndarray
+
+
 class Vocabulary:
-    """Ids of words, their places in the sorted hashes, with a bounded cache."""
+    """Ids of words: their places in the sorted hashes, -1 for unknown words."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -108,7 +112,6 @@ class Vocabulary:
         self.starts = np.cumsum([0, *map(len, self.hashes)])
         self.lasts = np.array([h[-1] if len(h) else -(1 << 63) for h in self.hashes], np.int64)
         self.lasts = np.maximum.accumulate(self.lasts) if len(self.lasts) else self.lasts
-        self.known: dict[bytes, int] = {}
 
     def search(self, hashes: np.ndarray) -> np.ndarray:
         part = np.searchsorted(self.lasts, hashes)
@@ -122,21 +125,20 @@ class Vocabulary:
         return out
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        missing = list(set(words) - known.keys())
-        if missing:
-            found = self.search(np.array([hash_of(w) for w in missing], np.int64))
-            if len(known) + len(missing) > CACHED:
-                known = self.known = {}
-                return self.ids_once(words)
-            known.update(zip(missing, found.tolist()))
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-
-    def ids_once(self, words: list[bytes]) -> np.ndarray:
-        distinct = list(set(words))
-        found = self.search(np.array([hash_of(w) for w in distinct], np.int64))
-        table = dict(zip(distinct, found.tolist()))
-        return np.fromiter(map(table.__getitem__, words), np.int64, len(words))
+        hashes = np.fromiter(map(hash_of, words), np.int64, len(words))
+        # In order, a search stays near the one before it.
+        order = np.argsort(hashes)
+        out = np.empty(len(words), np.int64)
+        out[order] = self.search(hashes[order])
+        return out
+
+    def placed(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, int]:
+        """The sorted ids of the words and BEGIN; in them the tokens' places, and BEGIN's."""
+        ids = self.ids([*tokens.words, BEGIN])
+        order = np.argsort(ids, kind="stable")
+        rank = np.empty(len(ids), np.int64)
+        rank[order] = np.arange(len(ids))
+        return ids[order], rank[tokens.index], int(rank[-1])
 
     def column(self, name: str, kind: str) -> list[np.ndarray]:
         return [open_array(self.model.folder, f"{name}-{i}", kind) for i in range(self.model.parts)]
@@ -158,20 +160,44 @@ def shard_of(model: Model, left: np.ndarray, right: np.ndarray, left_count: np.n
     return ((code >> np.uint64(33)) % np.uint64(model.shards)).astype(np.int64)
 
 
-def batches_of_tokens(texts: Iterator[str | None]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """(words with an END after each text, lengths), some TOKENS_AT_ONCE at a time."""
-    words: list[bytes] = []
-    lengths: list[int] = []
-    for text in texts:
-        own = words_of(text)
-        words += own
-        words.append(END)
-        lengths.append(len(own) + 1)
-        if len(words) >= TOKENS_AT_ONCE:
-            yield words, np.array(lengths, np.int64)
-            words, lengths = [], []
-    if lengths:
-        yield words, np.array(lengths, np.int64)
+def split_texts(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(the words, A-Z lower-cased, and how many each text has) of some texts at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    edges = np.flatnonzero(np.diff(ends // BYTES_AT_ONCE)) + 1 if len(ends) else []
+    for a, b in zip([0, *edges], [*edges, len(texts)]):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(a, b - a), "")))
+        words, offsets = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy()
+        # White space at the ends of a text leaves empty words.
+        real = pc.binary_length(words).to_numpy() > 0
+        before = np.concatenate([[0], np.cumsum(real)])
+        yield words.filter(pa.array(real)), np.diff(before[offsets - offsets[0]])
+
+
+def batches_of_tokens(columns: Iterator[pa.Array]) -> Iterator[Tokens]:
+    """The tokens of the texts, some TOKENS_AT_ONCE at a time."""
+    held: list[tuple[pa.Array, np.ndarray]] = []
+    size = 0
+    for texts in columns:
+        for words, counts in split_texts(texts):
+            held.append((words, counts))
+            size += len(words) + len(counts)
+            if size >= TOKENS_AT_ONCE:
+                yield tokens_of(held)
+                held, size = [], 0
+    if size:
+        yield tokens_of(held)
+
+
+def tokens_of(held: list[tuple[pa.Array, np.ndarray]]) -> Tokens:
+    coded = pa.chunked_array([words for words, _ in held], pa.binary()).dictionary_encode()
+    words = coded.chunk(coded.num_chunks - 1).dictionary.to_pylist()
+    lengths = np.concatenate([counts for _, counts in held]) + 1
+    ends = np.cumsum(lengths) - 1
+    own = np.ones(lengths.sum(), bool)
+    own[ends] = False
+    index = np.full(len(own), len(words), np.int64)
+    index[own] = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+    return Tokens([*words, END], index, lengths)
 
 
 def contexts(ids: np.ndarray, lengths: np.ndarray, begin: int) -> np.ndarray:
@@ -182,22 +208,20 @@ def contexts(ids: np.ndarray, lengths: np.ndarray, begin: int) -> np.ndarray:
     return left
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[str | None]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
     for batch in batches:
-        for text in batch.column("text"):
-            yield text.as_py()
+        yield batch.column("text")
 
 
 def count_words(training: DataFrame, folder: str) -> Model:
     """Writes the sorted hashes and counts of all words of the training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, _ in batches_of_tokens(_texts(batches)):
-            seen = Counter(words)
+        for tokens in batches_of_tokens(_texts(batches)):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([hash_of(w) for w in seen] + [hash_of(BEGIN)], pa.int64()),
-                    pa.array([*seen.values(), 0], pa.int64()),
+                    pa.array([*map(hash_of, tokens.words), hash_of(BEGIN)], pa.int64()),
+                    pa.array(np.append(np.bincount(tokens.index, minlength=len(tokens.words)), 0), pa.int64()),
                 ],
                 names=["hash", "n"],
             )
@@ -257,16 +281,25 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str, names: list[str]):
 
 
 def pack(codes: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted codes as compressed differences, and their counts."""
-    steps = np.diff(codes, prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes()
-    return len(codes).to_bytes(8, "little") + zlib.compress(steps + counts.astype("<u4").tobytes(), 1)
+    """Sorted codes and their counts, byte by byte and compressed."""
+    columns = np.diff(codes >> 32, prepend=0), codes & 0xFFFFFFFF, counts
+    planes = [c.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
+    data = pa.Codec("zstd", compression_level=1).compress(b"".join(planes), asbytes=True)
+    return len(codes).to_bytes(8, "little") + data
 
 
 def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(block[:8], "little")
-    data = zlib.decompress(block[8:])
-    steps = np.frombuffer(data, np.uint8, n * 8).reshape(8, n).T.copy().view("<i8").ravel()
-    return np.cumsum(steps), np.frombuffer(data, "<u4", n, n * 8).astype(np.int64)
+    data = pa.Codec("zstd").decompress(block[8:], 12 * n, asbytes=True)
+    planes = np.frombuffer(data, np.uint8).reshape(3, 4, n).transpose(0, 2, 1)
+    steps, low, counts = planes.copy().view("<u4").reshape(3, n).astype(np.int64)
+    return np.cumsum(steps) << 32 | low, counts
+
+
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """Their order; small keys are sorted by their digits."""
+    small = len(keys) and keys.min() >= 0 and keys.max() < 1 << 16
+    return np.argsort(keys.astype(np.uint16) if small else keys, kind="stable")
 
 
 def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -307,7 +340,7 @@ def statistics(codes: np.ndarray, counts: np.ndarray, *numbers: np.ndarray) -> p
 
 def blocks_of(key: np.ndarray, codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """Keys and their packed blocks, of codes that are sorted."""
-    order = np.argsort(key, kind="stable")
+    order = stable_order(key)
     key, codes, times = key[order], codes[order], times[order]
     edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
     return key[edges[:-1]], [pack(codes[a:b], times[a:b]) for a, b in zip(edges, edges[1:])]
@@ -326,14 +359,13 @@ def count_bigrams(training: DataFrame, model: Model) -> Model:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
         counts = vocabulary.column("count", "<i8")
-        begin = int(vocabulary.ids([BEGIN])[0])
-        for words, lengths in batches_of_tokens(_texts(batches)):
-            right = vocabulary.ids(words)
-            left = contexts(right, lengths, begin)
-            codes, times = np.unique(left << 32 | right, return_counts=True)
-            left, right = codes >> 32, codes & 0xFFFFFFFF
-            shard = shard_of(model, left, right, vocabulary.take(counts, left))
-            keys, blocks = blocks_of(shard, codes, times)
+        for tokens in batches_of_tokens(_texts(batches)):
+            ids, index, begin = vocabulary.placed(tokens)
+            pairs, times = np.unique(contexts(index, tokens.lengths, begin) << 32 | index, return_counts=True)
+            first, last = pairs >> 32, pairs & 0xFFFFFFFF
+            left, right = ids[first], ids[last]
+            shard = shard_of(model, left, right, vocabulary.take(counts, ids)[first])
+            keys, blocks = blocks_of(shard, left << 32 | right, times)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(blocks, pa.binary())], names=["shard", "block"]
             )
@@ -363,6 +395,15 @@ def count_bigrams(training: DataFrame, model: Model) -> Model:
     ), FIELDS)
 
 
+@dataclass(frozen=True)
+class Places:
+    """Where bigrams are: shard and place, -1 for none; and each shard's rows that are stored."""
+
+    shards: np.ndarray
+    place: np.ndarray
+    stored: list[tuple[int, np.ndarray]]
+
+
 class Bigrams:
     """The memory-mapped shards of bigrams."""
 
@@ -378,17 +419,18 @@ class Bigrams:
             self.opened[name, shard] = open_array(self.model.folder, f"{name}-{shard}", kind)
         return self.opened[name, shard]
 
-    def places(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each bigram's shard and its place there, -1 where it is not stored."""
+    def places(self, left: np.ndarray, right: np.ndarray) -> Places:
+        """Each bigram's shard and its place there."""
         shards, out = np.zeros(len(left), np.int64), np.full(len(left), -1, np.int64)
         at = np.flatnonzero((left >= 0) & (right >= 0))
         codes = left[at] << 32 | right[at]
         shards[at] = shard_of(self.model, left[at], right[at], self.vocabulary.take(self.counts, left[at]))
+        stored = []
         for shard, rows in grouped(shards[at]):
-            known = self.array("bigram", shard)
-            place = found_in(known, codes[rows])
+            place = found_in(self.array("bigram", shard), codes[rows])
             out[at[rows]] = place
-        return shards, out
+            stored.append((shard, at[rows[place >= 0]]))
+        return Places(shards, out, stored)
 
     def counted(self, name: str, shard: int) -> Counts:
         if (name, shard) not in self.opened:
@@ -397,18 +439,17 @@ class Bigrams:
             self.opened[name, shard] = Counts(self.model.folder, f"{name}-{shard}")
         return self.opened[name, shard]
 
-    def take(self, name: str, shards: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """The counts at the places; 0 for -1."""
-        out = np.zeros(len(places), np.int64)
-        at = np.flatnonzero(places >= 0)
-        for shard, rows in grouped(shards[at]):
-            out[at[rows]] = self.counted(name, shard)[places[at[rows]]]
+    def take(self, name: str, places: Places) -> np.ndarray:
+        """The counts at the places; 0 for those not stored."""
+        out = np.zeros(len(places.place), np.int64)
+        for shard, rows in places.stored:
+            out[rows] = self.counted(name, shard)[places.place[rows]]
         return out
 
 
 def grouped(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each key with its rows."""
-    order = np.argsort(keys, kind="stable")
+    order = stable_order(keys)
     edges = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0, [True]])) if len(keys) else []
     for a, b in zip(edges, edges[1:]):
         yield int(keys[order[a]]), order[a:b]
@@ -431,38 +472,48 @@ def starts_of(lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(lengths) - lengths
 
 
+def after_first(lengths: np.ndarray) -> np.ndarray:
+    """The tokens that are not the first of their text."""
+    inner = np.ones(lengths.sum(), bool)
+    inner[starts_of(lengths)] = False
+    return np.flatnonzero(inner)
+
+
 def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
     """Writes the shards of trigrams and the bigrams' statistics; gives those of the words."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
         bigrams = Bigrams(model, vocabulary)
-        begin = int(vocabulary.ids([BEGIN])[0])
-        for words, lengths in batches_of_tokens(_texts(batches)):
-            right = vocabulary.ids(words)
-            pairs, which = np.unique(contexts(right, lengths, begin) << 32 | right, return_inverse=True)
+        for tokens in batches_of_tokens(_texts(batches)):
+            ids, index, begin = vocabulary.placed(tokens)
+            pairs, which = np.unique(contexts(index, tokens.lengths, begin) << 32 | index, return_inverse=True)
             # The pair before each word but a text's first is the one that ends there.
-            inner = np.ones(len(right), bool)
-            inner[starts_of(lengths)] = False
-            at = np.flatnonzero(inner)
-            codes, times = np.unique(which[at - 1] << 32 | right[at], return_counts=True)
-            pair, word = codes >> 32, codes & 0xFFFFFFFF
-            shards, places = bigrams.places(pairs >> 32, pairs & 0xFFFFFFFF)
-            counts = bigrams.take("bigram-count", shards, places)
-            key = trigram_shard(model, shards[pair], counts[pair], word)
-            keys, blocks = blocks_of(key, places[pair] << 32 | word, times)
+            at = after_first(tokens.lengths)
+            codes, times = np.unique(which[at - 1] << 32 | index[at], return_counts=True)
+            pair, word = codes >> 32, ids[codes & 0xFFFFFFFF]
+            places = bigrams.places(ids[pairs >> 32], ids[pairs & 0xFFFFFFFF])
+            counts = bigrams.take("bigram-count", places)
+            key = trigram_shard(model, places.shards[pair], counts[pair], word)
+            keys, blocks = blocks_of(key, places.place[pair] << 32 | word, times)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(blocks, pa.binary())], names=["shard", "block"]
             )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model)
-        bigrams = Bigrams(model, vocabulary)
         for key, columns in _groups(batches, "shard", ["block"]):
             unpacked = [unpack(b) for b in columns["block"]]
             codes, counts = summed(*(np.concatenate(x) for x in zip(*unpacked)))
             write_array(model.folder, f"trigram-{key}", codes)
             write_counts(model.folder, f"trigram-count-{key}", counts)
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64())], names=["shard"])
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(model)
+        bigrams = Bigrams(model, vocabulary)
+        for key in (k for batch in batches for k in batch.column("shard").to_pylist()):
+            codes = open_array(model.folder, f"trigram-{key}", "<i8")
+            counts = Counts(model.folder, f"trigram-count-{key}").all()
             place, word = codes >> 32, codes & 0xFFFFFFFF
             shard = key // SALTS
             left = bigrams.array("bigram", shard)[place] & 0xFFFFFFFF
@@ -473,7 +524,7 @@ def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
             keys, blocks = blocks_of(to, later, before)
             # The first byte tells these from the statistics of what follows a bigram.
             first, starts = np.unique(place, return_index=True)
-            follow = [pack(first, x) for x in kinds_of(counts, starts)]
+            follow = [pack(first[x > 0] << 32, x[x > 0]) for x in kinds_of(counts, starts)]
             summary = np.array([key, *numbers_of(counts), len(counts)], "<i8").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -501,7 +552,7 @@ def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
             sums = [np.zeros(len(codes), np.int64) for _ in range(4)]
             for block in columns["block"]:
                 number, (own, times) = block[0], unpack(block[1:])
-                sums[number][found_in(codes, own) if number == 0 else own] += times
+                sums[number][found_in(codes, own) if number == 0 else own >> 32] += times
             adjusted = np.where(codes >> 32 == begin, counts, sums[0])
             write_counts(model.folder, f"bigram-before-{shard}", adjusted)
             for name, values in zip(("ones", "twos", "more"), sums[1:]):
@@ -510,7 +561,9 @@ def count_trigrams(training: DataFrame, model: Model) -> DataFrame:
 
     blocks = training.mapInArrow(send, "shard long, block binary")
     dealt = blocks.repartition(min(model.shards, 200_000), "shard").sortWithinPartitions("shard")
-    later = dealt_blocks(dealt.mapInArrow(merge, "shard long, block binary"), model, b"\0")
+    # Two jobs: the trigrams' blocks are dropped before those of their statistics are dealt.
+    merged = materialize(dealt.mapInArrow(merge, "shard long"))
+    later = dealt_blocks(merged.mapInArrow(describe, "shard long, block binary"), model, b"\0")
     return later.mapInArrow(finish, STATS)
 
 
@@ -572,7 +625,6 @@ class Scorer:
         self.totals = v.column("total", "<i8")
         self.small = {f: v.column(f, "<i4") for f in ("before", "ones", "twos", "more")}
         self.bigrams = Bigrams(model, v)
-        self.begin = int(v.ids([BEGIN])[0])
         self.d1 = discounts(model.word_counts)
         self.d2 = discounts(model.bigram_counts)
         self.d3 = discounts(model.trigram_counts)
@@ -609,55 +661,60 @@ class Scorer:
         own = np.maximum(before - self.d1[np.minimum(before, 3)], 0) / m.types
         return own + spare / (m.words + 1)
 
-    def score(self, words: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each text its known tokens, base score and log10 probability."""
+    def score(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each text its known tokens, base score and log10 probability.
+
+        What a word or a bigram has is looked up once for all its tokens.
+        """
         m, v = self.model, self.vocabulary
-        right = v.ids(words)
-        left = contexts(right, lengths, self.begin)
-        c = v.take(self.counts, right)
+        ids, index, begin = v.placed(tokens)
+        c = v.take(self.counts, ids)
         base = np.log10((c + 0.1) / (m.tokens + 0.1 * (m.words + 1)))
-        total = v.take(self.totals, left)
-        ones, twos, more = (v.take(self.small[f], left) for f in ("ones", "twos", "more"))
-        shards, places = self.bigrams.places(left, right)
-        pair = self.bigrams.take("bigram-before" if m.order > 2 else "bigram-count", shards, places)
+        pairs, which = np.unique(contexts(index, tokens.lengths, begin) << 32 | index, return_inverse=True)
+        first, last = pairs >> 32, pairs & 0xFFFFFFFF
+        total = v.take(self.totals, ids)[first]
+        ones, twos, more = (v.take(self.small[f], ids)[first] for f in ("ones", "twos", "more"))
+        places = self.bigrams.places(ids[first], ids[last])
+        pair = self.bigrams.take("bigram-before" if m.order > 2 else "bigram-count", places)
         held = np.maximum(pair - self.d2[np.minimum(pair, 3)], 0)
         # The whole mass of bigrams that are not stored goes to the lower order.
         spare = (1.0 if m.min_count > 1 else self.d2[1]) * ones
         spare = spare + (2.0 if m.min_count > 2 else self.d2[2]) * twos + self.d2[3] * more
         some = np.maximum(total, 1)
-        lower = self.unigram(right)
+        lower = self.unigram(ids)[last]
         p = np.where(total > 0, held / some + spare / some * lower, lower)
-        starts = starts_of(lengths)
+        own = np.log10(p)[which]
         if m.order > 2:
-            p = self.with_trigrams(p, right, shards, places, starts)
+            at = after_first(tokens.lengths)
+            triples, place = np.unique(which[at - 1] << 32 | which[at], return_inverse=True)
+            own[at] = np.log10(self.after_two(triples, p, ids[last], places))[place]
+        starts = starts_of(tokens.lengths)
         return (
-            np.add.reduceat((c > 0) * 1, starts),
-            np.add.reduceat(base, starts),
-            np.add.reduceat(np.log10(p), starts),
+            np.add.reduceat((c > 0)[index] * 1, starts),
+            np.add.reduceat(base[index], starts),
+            np.add.reduceat(own, starts),
         )
 
+    def after_two(self, triples: np.ndarray, lower: np.ndarray, word: np.ndarray, places: Places) -> np.ndarray:
+        """Probabilities after two words, where those were seen together, else after one.
 
-    def with_trigrams(
-        self, lower: np.ndarray, right: np.ndarray, shards: np.ndarray, places: np.ndarray, starts: np.ndarray
-    ) -> np.ndarray:
-        """The probabilities after two words, where those were seen together."""
+        A triple names its first two words and its last two among the bigrams, which have the
+        probabilities ``lower`` and end with the ids ``word``.
+        """
         b = self.bigrams
-        inner = np.ones(len(right), bool)
-        inner[starts] = False
-        at = np.flatnonzero(inner)
-        at = at[places[at - 1] >= 0]
-        shard, place, word = shards[at - 1], places[at - 1], right[at]
-        total = b.take("bigram-count", shard, place)
+        before, own = triples >> 32, triples & 0xFFFFFFFF
+        p = lower[own]
+        at = np.flatnonzero(places.place[before] >= 0)
+        before, own = before[at], own[at]
         d = self.d3
-        spare = sum(
-            d[i] * b.take(f"bigram-{name}", shard, place) for i, name in enumerate(("ones", "twos", "more"), 1)
-        )
+        totals = b.take("bigram-count", places)
+        spares = sum(d[i] * b.take(f"bigram-{name}", places) for i, name in enumerate(("ones", "twos", "more"), 1))
+        total, spare, word = totals[before], spares[before], word[own]
         count = np.zeros(len(at), np.int64)
         known = np.flatnonzero(word >= 0)
-        key = trigram_shard(self.model, shard[known], total[known], word[known])
-        count[known] = self.trigram_counts(key, place[known] << 32 | word[known])
-        p = lower.copy()
-        p[at] = np.maximum(count - d[np.minimum(count, 3)], 0) / total + spare / total * lower[at]
+        key = trigram_shard(self.model, places.shards[before[known]], total[known], word[known])
+        count[known] = self.trigram_counts(key, places.place[before[known]] << 32 | word[known])
+        p[at] = np.maximum(count - d[np.minimum(count, 3)], 0) / total + spare / total * lower[own]
         return p
 
 
@@ -667,10 +724,10 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            texts = (t.as_py() for t in batch.column("text"))
             at = 0
-            for words, lengths in batches_of_tokens(texts):
-                known, base, own = scorer.score(words, lengths)
+            for tokens in batches_of_tokens([batch.column("text")]):
+                lengths = tokens.lengths
+                known, base, own = scorer.score(tokens)
                 part = batch.slice(at, len(lengths))
                 at += len(lengths)
                 yield pa.RecordBatch.from_arrays(

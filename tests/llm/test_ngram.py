@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablegate.llm import ngram
@@ -50,3 +51,42 @@ def test_few_open_maps(spark, monkeypatch):
     got = {r["doc_id"]: r["score"] for r in ngram.trained_and_scored(table, order=3).collect()}
     for doc, _, score in brute_trigram_scores(rows):
         assert np.isclose(got[doc], score, rtol=1e-9)
+
+
+def test_words_and_bigrams_are_looked_up_once(spark, tmp_path, monkeypatch):
+    """However often a batch holds an n-gram, its arrays are searched once for it."""
+    table = spark.createDataFrame([("a b c " * 500,), ("b a d",)], "text string")
+    model = ngram.train(table, str(tmp_path), order=3)
+    looked_up = []
+
+    def counted(known, codes, found_in=ngram.found_in):
+        looked_up.append(len(codes))
+        return found_in(known, codes)
+
+    monkeypatch.setattr(ngram, "found_in", counted)
+    scorer = ngram.Scorer(model)
+    for tokens in ngram.batches_of_tokens([pa.array(["a b c " * 500, "a b c " * 500])]):
+        assert len(tokens.index) == 3002
+        scorer.score(tokens)
+    assert 0 < sum(looked_up) <= 12
+
+
+def test_tokens_are_those_of_split_bytes(monkeypatch):
+    monkeypatch.setattr(ngram, "BYTES_AT_ONCE", 8)
+    monkeypatch.setattr(ngram, "TOKENS_AT_ONCE", 5)
+    odd = "".join(f"A{chr(c)}Z" for c in range(256))
+    texts = ["", None, "  ", "\x0b a\x1cB \u00c9a\x00\n", odd, "x " * 40, None, "y"]
+    got = []
+    for tokens in ngram.batches_of_tokens([pa.array(texts, pa.string()), pa.array([], pa.string())]):
+        ends = np.cumsum(tokens.lengths)
+        for a, b in zip(ends - tokens.lengths, ends):
+            got.append([tokens.words[i] for i in tokens.index[a:b]])
+    assert got == [(t or "").encode().lower().split() + [ngram.END] for t in texts]
+
+
+def test_blocks_come_back_whole():
+    codes = np.array([0, 5, 7 << 32, 7 << 32 | 3, (1 << 62) | (1 << 31)], np.int64)
+    counts = np.array([1, 2, 70000, 255, 256], np.int64)
+    for n in (0, 1, 5):
+        for got, expected in zip(ngram.unpack(ngram.pack(codes[:n], counts[:n])), (codes[:n], counts[:n])):
+            assert got.tolist() == expected.tolist()
