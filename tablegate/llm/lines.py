@@ -20,7 +20,6 @@ empty result; the input's columns travel in one struct, so no name can clash.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -31,12 +30,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.common import packed, short_lived_shuffles, small_or_shuffled, with_text, words_of
+from tablegate.llm.common import (
+    packed,
+    short_lived_shuffles,
+    small_batches,
+    small_or_shuffled,
+    split_texts,
+    with_text,
+    words_of,
+)
 from tablegate.llm.runs import BLOCK_ROWS, in_units, index_pairs, key_sizes, runs
 from tablegate.session import materialize, staged
 
 THRESHOLD = Fraction(4, 5)
 FREQUENT = 1 << 16
+# Words that are counted at a time.
+WORDS_AT_ONCE = 1 << 22
 # Word keys a worker keeps at a time.
 CACHED = 1 << 18
 # A sketch has 64 bits for every so many words, in powers of four.
@@ -99,24 +108,33 @@ def prefix_length(size: int, threshold: Fraction) -> int:
 def frequent_words(docs: DataFrame, limit: int = FREQUENT) -> tuple[dict[bytes, int], int]:
     """Order keys of the most common words, at most ``limit``, and the number of all words.
 
-    A batch names the words with a share of over 1 / (4 limit) in it, so no word with a
-    share of 1.25 / limit in the whole is missed.
+    Of some words at a time those with a share of over 1 / (4 limit) are named, so no word
+    with a share of 1.25 / limit in the whole is missed.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []
+        size = 0
         for batch in batches:
-            seen: Counter[bytes] = Counter()
-            for text in batch.column("text"):
-                seen.update((text.as_py() or "").encode("utf-8", "surrogatepass").lower().split())
-            total = seen.total()
-            kept = [(w, n) for w, n in seen.items() if n * 4 * limit > total]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([w for w, _ in kept] + [None], pa.binary()),
-                    pa.array([n for _, n in kept] + [total], pa.int64()),
-                ],
-                names=["word", "n"],
-            )
+            for words, _ in split_texts(batch.column("text")):
+                held.append(words)
+                size += len(words)
+                if size >= WORDS_AT_ONCE:
+                    yield counted(held)
+                    held, size = [], 0
+        yield counted(held)
+
+    def counted(held: list[pa.Array]) -> pa.RecordBatch:
+        found = pa.chunked_array(held, pa.binary()).value_counts()
+        words, times = found.field("values"), found.field("counts").to_numpy()
+        kept = times * 4 * limit > times.sum()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([words.filter(pa.array(kept)), pa.array([None], pa.binary())]),
+                pa.array(np.append(times[kept], times.sum()), pa.int64()),
+            ],
+            names=["word", "n"],
+        )
 
     counts = materialize(
         docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(
@@ -370,6 +388,7 @@ def similar_lines(docs: DataFrame, sets: DataFrame, threshold: Fraction, total_w
 
 def removed_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     """(doc, numbers, digests): for each doc_id the lines to remove."""
+    small_batches(docs.sparkSession)
     with short_lived_shuffles(docs.sparkSession):
         return _removed_lines(docs, threshold)
 

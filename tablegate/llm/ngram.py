@@ -27,12 +27,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.common import short_lived_shuffles
+from tablegate.llm.common import short_lived_shuffles, split_texts
 from tablegate.llm.language import fold_of
 from tablegate.llm.store import Counts, open_array, write_array, write_counts
 from tablegate.session import _remove, materialize, scratch_path
@@ -45,9 +44,8 @@ WORDS_PER_PART = 8_000_000
 SALTS = 64
 # A context with more than this share of the tokens is salted.
 HOT_SHARE = 1 / 500
-# Tokens handled as arrays at a time, and bytes of texts split at a time.
+# Tokens handled as arrays at a time.
 TOKENS_AT_ONCE = 1 << 20
-BYTES_AT_ONCE = 1 << 20
 
 # No word holds a line end, so these name the end token and the context before a text.
 END, BEGIN = b"\n", b"\n\n"
@@ -160,19 +158,6 @@ def shard_of(model: Model, left: np.ndarray, right: np.ndarray, left_count: np.n
     return ((code >> np.uint64(33)) % np.uint64(model.shards)).astype(np.int64)
 
 
-def split_texts(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(the words, A-Z lower-cased, and how many each text has) of some texts at a time."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    edges = np.flatnonzero(np.diff(ends // BYTES_AT_ONCE)) + 1 if len(ends) else []
-    for a, b in zip([0, *edges], [*edges, len(texts)]):
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(a, b - a), "")))
-        words, offsets = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy()
-        # White space at the ends of a text leaves empty words.
-        real = pc.binary_length(words).to_numpy() > 0
-        before = np.concatenate([[0], np.cumsum(real)])
-        yield words.filter(pa.array(real)), np.diff(before[offsets - offsets[0]])
-
-
 def batches_of_tokens(columns: Iterator[pa.Array]) -> Iterator[Tokens]:
     """The tokens of the texts, some TOKENS_AT_ONCE at a time."""
     held: list[tuple[pa.Array, np.ndarray]] = []

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tablegate.llm import ngram
+from tablegate.llm import common, ngram
 from tests.llm.test_corpus import brute_trigram_scores
 
 
@@ -72,7 +72,7 @@ def test_words_and_bigrams_are_looked_up_once(spark, tmp_path, monkeypatch):
 
 
 def test_tokens_are_those_of_split_bytes(monkeypatch):
-    monkeypatch.setattr(ngram, "BYTES_AT_ONCE", 8)
+    monkeypatch.setattr(common, "BYTES_AT_ONCE", 8)
     monkeypatch.setattr(ngram, "TOKENS_AT_ONCE", 5)
     odd = "".join(f"A{chr(c)}Z" for c in range(256))
     texts = ["", None, "  ", "\x0b a\x1cB \u00c9a\x00\n", odd, "x " * 40, None, "y"]
