@@ -174,14 +174,14 @@ def batches_of_tokens(columns: Iterator[pa.Array]) -> Iterator[Tokens]:
 
 
 def tokens_of(held: list[tuple[pa.Array, np.ndarray]]) -> Tokens:
-    coded = pa.chunked_array([words for words, _ in held], pa.binary()).dictionary_encode()
-    words = coded.chunk(coded.num_chunks - 1).dictionary.to_pylist()
+    coded = pa.concat_arrays([words for words, _ in held]).dictionary_encode()
+    words = coded.dictionary.to_pylist()
     lengths = np.concatenate([counts for _, counts in held]) + 1
     ends = np.cumsum(lengths) - 1
     own = np.ones(lengths.sum(), bool)
     own[ends] = False
     index = np.full(len(own), len(words), np.int64)
-    index[own] = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+    index[own] = coded.indices.to_numpy()
     return Tokens([*words, END], index, lengths)
 
 

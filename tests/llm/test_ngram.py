@@ -90,3 +90,8 @@ def test_blocks_come_back_whole():
     for n in (0, 1, 5):
         for got, expected in zip(ngram.unpack(ngram.pack(codes[:n], counts[:n])), (codes[:n], counts[:n])):
             assert got.tolist() == expected.tolist()
+
+
+def test_texts_without_words():
+    (tokens,) = ngram.batches_of_tokens([pa.array(["", None, " "], pa.string())])
+    assert (tokens.words, tokens.index.tolist(), tokens.lengths.tolist()) == ([ngram.END], [0, 0, 0], [1, 1, 1])
