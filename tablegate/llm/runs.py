@@ -53,14 +53,19 @@ def index_pairs(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All index pairs x < y inside runs of these sizes, in chunks."""
     starts = np.cumsum(sizes) - sizes
     later = np.repeat(starts + sizes, sizes) - np.arange(sizes.sum()) - 1
-    total = np.concatenate([[0], np.cumsum(later)])
-    at = 0
-    while at < len(later):
-        end = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS_AT_ONCE, "right")) - 1)
-        n = later[at:end]
+    for at, end, n in spans(later, PAIRS_AT_ONCE):
         x = np.repeat(np.arange(at, end), n)
         y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
         yield x, y
+
+
+def spans(counts: np.ndarray, most: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(begin, end, their counts) of stretches that add up to about ``most``."""
+    total = np.concatenate([[0], np.cumsum(counts)])
+    at = 0
+    while at < len(counts):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
+        yield at, end, counts[at:end]
         at = end
 
 
