@@ -64,9 +64,9 @@ LONG_WORD = 512
 # A sketch has 64 bits for every so many words, in powers of two up to the widest.
 WORDS_PER_SKETCH = 64
 WIDEST_SKETCH = 16
-# Postings that a task packs at a time, and words of the texts to a group of postings.
+# Postings that a task packs at a time, and those of a group, of which a word in four makes one.
 PACKED = 1 << 19
-GROUP_WORDS = 1 << 19
+GROUP_ROWS = 1 << 17
 GROUPS = 256
 # Pairs that are looked at a time, and held before those beyond a line's first partners go.
 PAIRS_AT_ONCE = 1 << 16
@@ -418,15 +418,15 @@ def postings(sets: DataFrame, codes, threshold: Fraction, groups: int, hot=None,
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            if batch.num_rows:
-                held.append(columns(batch))
-                size += len(held[-1]["unit"])
-            if size >= PACKED:
-                yield from out(held)
-                held, size = [], 0
+            for columns in dealt(batch) if batch.num_rows else ():
+                held.append(columns)
+                size += len(columns["unit"])
+                if size >= PACKED:
+                    yield from out(held)
+                    held, size = [], 0
         yield from out(held)
 
-    def columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    def dealt(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
         taken = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*ID, "size", "open")}
         key, _ = flat(batch.column("prefix"), np.uint64)
         lengths = prefix_lengths(taken["size"], threshold)
@@ -435,21 +435,22 @@ def postings(sets: DataFrame, codes, threshold: Fraction, groups: int, hot=None,
         kept = np.flatnonzero(codes.value[key & np.uint64(BUCKETS - 1)] > 0)
         if only is not None:
             kept = kept[found(only.value, key[kept])[1]]
-        unit, row, pos = key[kept], row[kept], pos[kept]
-        if hot is not None:
-            place, is_hot = found(hot.value[0], unit)
-            blocks = np.where(is_hot, hot.value[1][place], 1)
-            again = np.repeat(np.arange(len(unit)), blocks)
-            other = np.arange(len(again)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-            unit, row, pos, blocks, is_hot = (c[again] for c in (unit, row, pos, blocks, is_hot))
-            own = (mixed(taken["digest"][row].view(np.uint64), 13) % blocks.astype(np.uint64)).astype(np.int64)
-            pair = np.minimum(own, other) << 32 | np.maximum(own, other)
-            unit = np.where(is_hot, mixed(unit ^ mixed(pair.view(np.uint64), 17), 19), unit)
+        place, is_hot = found(hot.value[0] if hot is not None else key[:0], key[kept])
+        blocks = np.where(is_hot, hot.value[1][place], 1) if hot is not None else np.ones(len(kept), np.int64)
         bits, offsets = flat(batch.column("sketch"), np.uint64)
-        return {
-            "unit": unit, "pos": pos, **{c: v[row] for c, v in taken.items()},
-            "at": offsets[:-1][row] // 8, "bits": bits,
-        }
+        for at, end, n in spans(blocks, PACKED):
+            again = np.repeat(np.arange(at, end), n)
+            unit, own_row = key[kept[again]], row[kept[again]]
+            if n.max() > 1:
+                other = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
+                own = mixed(taken["digest"][own_row].view(np.uint64), 13) % blocks[again].astype(np.uint64)
+                own = own.astype(np.int64)
+                pair = np.minimum(own, other) << 32 | np.maximum(own, other)
+                unit = np.where(is_hot[again], mixed(unit ^ mixed(pair.view(np.uint64), 17), 19), unit)
+            yield {
+                "unit": unit, "pos": pos[kept[again]], **{c: v[own_row] for c, v in taken.items()},
+                "at": offsets[:-1][own_row] // 8, "bits": bits,
+            }
 
     def out(held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         if not held:
@@ -674,15 +675,15 @@ def shared_words(xs: pa.Array, ys: pa.Array) -> tuple[np.ndarray, np.ndarray, np
 def similar_lines(docs: DataFrame, sets: DataFrame, codes, threshold: Fraction, total_words: int) -> DataFrame:
     """The ID of each distinct line that has an earlier similar line with another set."""
     context = docs.sparkSession.sparkContext
-    groups = max(GROUPS, total_words // GROUP_WORDS)
-    block_rows = BLOCK_ROWS
+    block_rows, hot, rows = BLOCK_ROWS, None, total_words // 4
     # At most one hot word for each block's rows of postings.
-    counts = hot_words(sets, codes, threshold, block_rows).orderBy("key").toArrow()
-    hot = None
+    counts = hot_words(sets, codes, threshold, block_rows).toArrow()
     if counts.num_rows:
         keys, n = counts.column("key").to_numpy().view(np.uint64), counts.column("n").to_numpy()
-        order = np.argsort(keys)
-        hot = context.broadcast((keys[order], -(-n[order] // block_rows)))
+        order, blocks = np.argsort(keys), -(-n // block_rows)
+        hot = context.broadcast((keys[order], blocks[order]))
+        rows += int((n * blocks).sum())
+    groups = max(GROUPS, rows // GROUP_ROWS)
     closed = sets.withColumn("open", F.lit(False))
     units = postings(closed, codes, threshold, groups, hot)
     pairs = materialize(candidates(units, threshold, every=False))

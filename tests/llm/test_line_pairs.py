@@ -114,3 +114,19 @@ def test_shared_words():
     xs, ys = pa.array(["a b b c", "", "x" * 2_000_000 + " a"]), pa.array(["c  b d", "a", "a"])
     counts = lines.shared_words(xs, ys)
     assert [c.tolist() for c in counts] == [[3, 0, 2], [3, 1, 1], [2, 0, 1]]
+
+
+def test_postings_of_hot_words_are_repeated_for_pairs_of_blocks(spark):
+    """Each line of a hot word goes to one unit for every block, and the units to all groups."""
+    rows = [(i, "\n".join(f"hot warm x{i}y{j} z{i}y{j}" for j in range(40))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    order, _ = lines.word_order(docs, lines.FREQUENT)
+    codes = spark.sparkContext.broadcast(np.maximum(order, 1))
+    sets = lines.line_sets(docs, codes, Fraction(1, 10)).withColumn("open", F.lit(False))
+    hot = {r["key"]: r["n"] for r in lines.hot_words(sets, codes, Fraction(1, 10), 8).collect()}
+    assert sorted(hot.values()) == [800, 800]
+    keys = np.sort(np.array([*hot], np.int64).view(np.uint64))
+    blocks = spark.sparkContext.broadcast((keys, np.array([100, 100])))
+    postings = lines.postings(sets, codes, Fraction(1, 10), lines.GROUPS, blocks)
+    assert postings.agg(F.sum(F.length("pos"))).first()[0] == 4 * (800 * 2 * 100 + 800 * 2)
+    assert postings.select("part").distinct().count() == lines.GROUPS
